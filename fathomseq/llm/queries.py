@@ -5,7 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .decontaminate import leaks
+from .line_dedup import dedup_lines
 from .ngram_jaccard import jaccard_components
 
 
@@ -13,12 +16,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", F.size("removed_lines").alias("n_removed"), "removed_lines")
+
+
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), k=3, percent=90)
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_tokens", "covered", "coverage", F.size("tiles").alias("n_tiles"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op4_ngram_jaccard": op4_ngram_jaccard,
+    "op8_decontamination": op8_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {}
