@@ -185,3 +185,14 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 90, id_col: s
         rows.join(named, "class_id", "left")
         .select("doc_id", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
     )
+
+
+def keep_one(docs: DataFrame, k: int = 5, percent: int = 90) -> DataFrame:
+    """``docs`` with the smallest doc_id of each group linked by ``jaccard_components``; all columns stay.
+
+    Rows whose doc_id is null or whose text has no word stay. Of rows that
+    repeat the kept doc_id all stay, as one document.
+    """
+    groups = jaccard_components(docs, k, percent)
+    gone = groups.where("doc_id is not null and doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
+    return docs.join(gone, docs.doc_id.cast("long") == gone.gone_id, "left_anti")
