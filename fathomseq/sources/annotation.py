@@ -12,14 +12,14 @@ def parse_gtf_lines(lines: DataFrame, gff3: bool = False) -> DataFrame:
     """Features of lines (value): comments and lines without nine fields are left out; strand ``.`` is ``*``."""
     fields = F.split("value", "\t")
     rows = lines.where(~F.col("value").startswith("#")).select(*[c for c in lines.columns if c != "value"], fields.alias("f")).where("size(f) = 9")
-    parsed = A.pairs(F.col("f")[8], gff3)
+    parsed = A.pairs(F.get("f", F.lit(8)), gff3)
     own = A.attribute_map(F.col("parsed"))
     rows = rows.withColumn("parsed", parsed)
     return rows.select(
         *[c for c in lines.columns if c != "value"],
-        F.col("f")[0].alias("chrom"), F.col("f")[1].alias("source"), F.col("f")[2].alias("type"),
-        F.col("f")[3].try_cast("long").alias("start_pos"), F.col("f")[4].try_cast("long").alias("end_pos"), F.col("f")[5].alias("score"),
-        F.when(F.col("f")[6] == ".", "*").otherwise(F.col("f")[6]).alias("strand"), F.col("f")[7].alias("phase"),
+        F.get("f", F.lit(0)).alias("chrom"), F.get("f", F.lit(1)).alias("source"), F.get("f", F.lit(2)).alias("type"),
+        F.get("f", F.lit(3)).try_cast("long").alias("start_pos"), F.get("f", F.lit(4)).try_cast("long").alias("end_pos"), F.get("f", F.lit(5)).alias("score"),
+        F.when(F.get("f", F.lit(6)) == ".", "*").otherwise(F.get("f", F.lit(6))).alias("strand"), F.get("f", F.lit(7)).alias("phase"),
         own.alias("attributes"), A.tags(F.col("parsed")).alias("tags"),
     ).withColumns({k: F.try_element_at("attributes", F.lit(k)) for k in ("gene_id", "transcript_id")})
 
