@@ -37,3 +37,21 @@ def chain_config(sheet: DataFrame) -> DataFrame:
 def talon_config(sheet: DataFrame) -> DataFrame:
     """(sample, description, platform, file) as written without a header."""
     return sheet.select("sample", "description", "platform", F.concat("sample", F.lit("/label_reads/"), "sample", F.lit(".aligned.md.labelled.sam")).alias("file"))
+
+
+def output_paths(sheet: DataFrame, templates: dict[str, str]) -> DataFrame:
+    """(sample, kind, path): each template with ``{sample}`` as the sample's name."""
+    kinds = sheet.sparkSession.createDataFrame(list(templates.items()), "kind string, template string")
+    return sheet.select("sample").join(F.broadcast(kinds), how="cross").select("sample", "kind", F.replace("template", F.lit("{sample}"), F.col("sample")).alias("path"))
+
+
+def is_hybrid(sheet: DataFrame, column: str = "short_read_bam_path") -> bool:
+    """Whether a sample sheet has short reads beside the long ones, told by its columns."""
+    return column in sheet.columns
+
+
+def header_fields(sequences: DataFrame) -> DataFrame:
+    """(name, fields): the ``key=value`` parts of FASTA descriptions, parted by ``;`` or spaces; the last of a repeated key wins."""
+    parts = F.filter(F.transform(F.split("description", "[; ]+"), lambda x: F.split(x, "=", 2)), lambda x: F.size(x) == 2)
+    last = F.filter(parts, lambda x, i: ~F.exists(F.slice(parts, i + 2, F.size(parts)), lambda y: y[0] == x[0]))
+    return sequences.select("name", F.map_from_entries(F.transform(last, lambda x: F.struct(x[0], x[1]))).alias("fields"))

@@ -577,6 +577,54 @@ def q_talon_config(s):
     return reports.talon_config(s)
 
 
+@query("SELECT sample, kind, replace(template, '{sample}', sample) AS path FROM sheet, (VALUES ('bam', '{sample}/pbmm2/{sample}.bam'), ('gtf', '{sample}/{sample}.gtf')) t(kind, template)", "sheet")
+def q_output_paths(s):
+    return reports.output_paths(s, {"bam": "{sample}/pbmm2/{sample}.bam", "gtf": "{sample}/{sample}.gtf"})
+
+
+@query("SELECT name, source_name, part FROM (SELECT name, description AS source_name, (ord % 9)::VARCHAR AS part FROM sequences)", "sequences")
+def q_header_fields(s):
+    described = s.withColumn("description", F.concat(F.lit("part=x;source="), "description", F.lit(" part="), (F.col("ord") % 9).cast("string"), F.lit("; bare")))
+    return reports.header_fields(described).select("name", F.element_at("fields", "source").alias("source_name"), F.element_at("fields", "part").alias("part"))
+
+
+@query("SELECT qname, cigar FROM reads WHERE NOT regexp_matches(cigar, 'S$|^[0-9]+S')", "reads")
+def q_unclipped(r):
+    return alignments.unclipped(r).select("qname", "cigar")
+
+
+@query("SELECT qname, flag FROM reads WHERE (flag & 4) = 0", "reads")
+def q_merge_mapped(r):
+    parts = [r.where(F.col("sample") == s).select("qname", "flag") for s in SAMPLES]
+    return alignments.merge_mapped(*parts)
+
+
+@query(
+    """lines AS (SELECT DISTINCT transcript_id, start_pos AS line_no FROM exons);;
+    SELECT transcript_id, line_no, row_number() OVER (PARTITION BY transcript_id ORDER BY line_no)::INTEGER AS exon_number, transcript_id || '_' || (row_number() OVER (PARTITION BY transcript_id ORDER BY line_no))::VARCHAR AS exon_id FROM lines""",
+    "exons",
+)
+def q_exon_fallback(e):
+    lines = e.select("transcript_id", F.col("start_pos").alias("line_no")).distinct()
+    return annotation.number_missing_exons(lines.withColumns({"exon_number": F.lit(None).cast("int"), "exon_id": F.lit(None).cast("string")}))
+
+
+@query(
+    """lines AS (SELECT chrom AS file, gene_no * 1000 AS line_no, 'gene' AS type, gene_id, NULL AS transcript_id FROM exons GROUP BY ALL
+      UNION ALL SELECT chrom, gene_no * 1000 + 1 + class * 200, 'transcript', NULL, transcript_id FROM exons GROUP BY ALL
+      UNION ALL SELECT chrom, gene_no * 1000 + 1 + class * 200 + 1, 'exon', NULL, NULL FROM exons GROUP BY ALL);;
+    SELECT file, line_no, type, (line_no // 1000)::VARCHAR AS gene_id, CASE WHEN type <> 'gene' THEN (line_no // 1000)::VARCHAR || '.' || ((line_no % 1000 - 1) // 200)::VARCHAR END AS transcript_id FROM lines""",
+    "exons",
+)
+def q_parent_attachment(e):
+    none = F.lit(None).cast("string")
+    at = F.col("gene_no") * 1000 + 1 + F.col("class") * 200
+    genes = e.select(F.col("chrom").alias("file"), (F.col("gene_no") * 1000).alias("line_no"), F.lit("gene").alias("type"), "gene_id", none.alias("transcript_id"))
+    transcripts = e.select("chrom", at, F.lit("transcript"), none, "transcript_id")
+    exons = e.select("chrom", at + 1, F.lit("exon"), none, none)
+    return annotation.attach_parents(genes.union(transcripts).union(exons).distinct())
+
+
 @query(
     f"""kept AS ({_KEPT}), feats AS (SELECT DISTINCT CASE gene_no % 3 WHEN 0 THEN 'ENST' WHEN 1 THEN 'MSTRG' ELSE 'NOVEL' END || gene_id AS transcript_id, chrom, type, start_pos, end_pos, strand FROM exons),
     stay AS (SELECT * FROM feats WHERE transcript_id IN (SELECT id FROM kept)), many AS (SELECT transcript_id FROM stay GROUP BY 1 HAVING count(*) > 2),

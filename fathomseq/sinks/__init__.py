@@ -71,6 +71,10 @@ def write_tsv(rows: DataFrame, path: str, header: bool = True) -> None:
     rows.write.csv(path, sep="\t", header=header, compression="gzip" if path.endswith(".gz") else "none")
 
 
+def write_headerless_csv(rows: DataFrame, path: str) -> None:
+    rows.write.csv(path, header=False)
+
+
 def row_named_lines(wide: DataFrame, key: str = "id") -> DataFrame:
     """(ord, value): a TSV whose header lacks the name of the key column."""
     samples = [c for c in wide.columns if c != key]

@@ -56,6 +56,12 @@ def read_read_lengths(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(sample.alias("sample"), kind.alias("type"), "line_no", F.trim("value").try_cast("double").alias("read_length")).where("read_length is not null")
 
 
+def read_events(spark: SparkSession, path: str) -> DataFrame:
+    """(event, inclusion, total) of splicing event files, each with its own header line."""
+    rows = spark.read.csv(path, sep="\t", header=True)
+    return rows.select(F.col("event_id").alias("event"), F.split("alternative_transcripts", ",").alias("inclusion"), F.split("total_transcripts", ",").alias("total"))
+
+
 #: Configuration keys of the older files, by the newer name.
 OLD_KEYS = {"dataCode": "data_code", "inFolder": "in_folder", "rawFolder": "raw_folder", "outFolder": "out_folder", "referenceGenome": "ref_genome", "genomeCode": "genome_code", "sampleConfig": "metadata", "metadata": "metadata"}
 
