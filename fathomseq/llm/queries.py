@@ -14,6 +14,7 @@ from .decontaminate import leaks
 from .line_dedup import dedup_lines
 from .mixing import plan
 from .ngram_jaccard import jaccard_components
+from .oracle import SQL as ORACLE_SQL  # noqa: F401
 from .rollups import TokenRollups, count_tokens, revised, signed
 
 
@@ -109,5 +110,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_quality,
     )
 }
-
-from .oracle import SQL as ORACLE_SQL  # noqa: E402, F401
