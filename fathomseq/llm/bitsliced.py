@@ -106,8 +106,9 @@ def top_products(vectors: DataFrame, every: int, k: int = 5, scale: int = 256) -
     asked = rows.where(F.col("vec_id") % every == 0)
     row_blocks, query_blocks = (max(1, -(-df.count() // size)) for df, size in ((rows, BLOCK_ROWS), (asked, BLOCK_QUERIES)))
     dim = F.size("v").alias("dim")
-    left = asked.select("vec_id", "v", dim, F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(query_blocks)).alias("q"), F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1))).alias("r"))
-    right = rows.select("vec_id", "v", dim, F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("q"), F.pmod(F.xxhash64("vec_id"), F.lit(row_blocks)).alias("r"))
+    # keys of one type on both sides, or equal keys would be dealt to different tasks
+    left = asked.select("vec_id", "v", dim, F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(query_blocks)).cast("int").alias("q"), F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1))).alias("r"))
+    right = rows.select("vec_id", "v", dim, F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("q"), F.pmod(F.xxhash64("vec_id"), F.lit(row_blocks)).cast("int").alias("r"))
 
     def search(queries: pa.Table, block: pa.Table) -> pa.Table:
         found: list[np.ndarray] = []
