@@ -15,7 +15,7 @@ from .sampling import fold, labelled, sampled, sampled_texts
 
 FEATURE_BITS = 18
 #: Labelled rows of each class that a model is fitted to, at most.
-SAMPLE_PER_CLASS = 2500
+SAMPLE_PER_CLASS = 1200
 #: Besides a word itself, its first bytes of these numbers are features, as stems.
 PREFIXES = (4, 5, 6)
 _STOPS = np.isin(np.arange(256), [ord(c) for c in ".!?"])
@@ -79,19 +79,28 @@ def fit(parts: list[Sentences], labels: np.ndarray, rounds: int = 120, rate: flo
     size = 1 << FEATURE_BITS
     if not len(labels) or labels.min() == labels.max():
         return NoisyOr(np.zeros(size), -10.0 if not len(labels) or labels[0] == 0 else 3.0)
-    found = np.concatenate([s.features for s in parts])
+    found = np.concatenate([s.features for s in parts]).astype(np.int32)
     sizes = np.concatenate([np.diff(s.at) for s in parts])
     in_doc = np.concatenate([np.diff(s.first) for s in parts])
-    sentence = np.repeat(np.arange(len(sizes)), sizes)
-    doc, first = np.repeat(np.arange(len(in_doc)), in_doc), np.concatenate([[0], np.cumsum(in_doc)])
+    parts.clear()
+    sentence = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    doc, first = np.repeat(np.arange(len(in_doc), dtype=np.int32), in_doc), np.concatenate([[0], np.cumsum(in_doc)])
     weight = np.where(labels == 1, 0.5 / labels.mean(), 0.5 / (1 - labels.mean())) / len(labels)
-    in_docs = np.unique(doc[sentence] * size + found) % size
-    often = np.bincount(in_docs, minlength=size) >= least
-    held = often[found]
+    both = doc[sentence].astype(np.int64)
+    both *= size
+    both += found
+    both.sort()
+    held = np.bincount(both[np.append(True, both[1:] != both[:-1])] % size, minlength=size) >= least
+    del both
+    held = held[found]
     found, sentence = found[held], sentence[held]
     at = np.searchsorted(sentence, np.arange(len(sizes) + 1))
     shrink = sparse * weight.max()
-    kinds, local = np.unique(found, return_inverse=True)
+    kinds = np.flatnonzero(np.bincount(found, minlength=size))
+    place = np.zeros(size, np.int32)
+    place[kinds] = np.arange(len(kinds), dtype=np.int32)
+    local = place[found]
+    del found, held
     w, b = np.zeros(len(kinds)), start
     seen_w, seen_b = np.full(len(kinds), 1e-10), 1e-10
     for _ in range(rounds):
