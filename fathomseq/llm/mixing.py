@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import Scratch
+
 WORD = r"[^\x20\x09-\x0D]+"
 #: Hexadecimal digits of the order that make a bucket: 16 to this power for each source.
 BUCKET_DIGITS = 3
@@ -62,7 +64,8 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), epochs: int = 3,
         word_count(F.col("text")).alias("size"),
         F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).cast("binary")).alias("key"),
     )
-    slim = own.select("source", "size", "key")
+    scratch = Scratch(docs.sparkSession)
+    slim = scratch.cut(own.select("source", "size", "key"))
     buckets = slim.groupBy("source", F.substring("key", 1, BUCKET_DIGITS).alias("bucket")).agg(F.sum("size").alias("size"))
     sizes = buckets.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes, weights, epochs)
@@ -80,7 +83,10 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), epochs: int = 3,
     cuts = inside.groupBy("of").agg(F.coalesce(last, F.struct(F.min("bucket").alias("key"), F.lit(-1).cast("long").alias("size"))).alias("cut"))
 
     cuts = targets.join(cuts, F.col("source").eqNullSafe(F.col("of")), "left").select(F.col("source").alias("of"), "source_size", "target", "whole", "cut")
-    out = own.join(cuts, F.col("source").eqNullSafe(F.col("of")))
+    # a source's rows meet its cut under one of 256 parts of the order, so that a large source is dealt to many tasks
+    digit = F.transform(F.sequence(F.lit(0), F.lit(255)), lambda i: F.lower(F.lpad(F.hex(i), 2, "0")))
+    cuts = scratch.cut(cuts).withColumn("part", F.explode(digit))
+    out = own.join(cuts, F.col("source").eqNullSafe(F.col("of")) & (F.substring("key", 1, 2) == F.col("part")))
     copies = F.col("whole") + F.when(F.struct("key", "size") <= F.col("cut"), 1).otherwise(0)
     return out.select("doc", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken"))
 
