@@ -24,9 +24,9 @@ SLICE_BITS = 1 << 16
 
 
 def bands(percent: int, most: int) -> np.ndarray:
-    """First sizes of the bands, up to one beyond ``most``; linked sets are in one band or in neighbours."""
+    """First sizes of the bands, up to two beyond ``most``; linked sets are in one band or in neighbours."""
     ratio, out = 10_000 // percent + 9, [1]
-    while out[-1] <= most:
+    while len(out) < 3 or out[-2] <= most:  # the second ends the band above the largest set's
         out.append(-(-out[-1] * ratio // 100))
     return np.array(out)
 
@@ -48,10 +48,10 @@ def slice_keys(hashes: np.ndarray, at: np.ndarray, percent: int) -> tuple[np.nda
     keys, owners = [], []
     for step in (0, 1):
         band = own + step
-        ends = np.append(starts, [starts[-1] * 2, starts[-1] * 4])[band + 1]
+        ends = starts[band + 1]
         fits = sizes > 0
         if step:
-            fits &= sizes * 100 >= starts[np.minimum(band, len(starts) - 1)] * percent
+            fits &= sizes * 100 >= starts[band] * percent
         apart = most_apart(percent, 2 * (ends - 1))
         fits &= apart > 0
         if not len(who := np.flatnonzero(fits)):

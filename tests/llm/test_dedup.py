@@ -6,9 +6,9 @@ import re
 import numpy as np
 import pytest
 
-from fathomseq.llm.common import MARKS, Words
+from fathomseq.llm.common import MARKS, PIECE, U64, Words, mix
 from fathomseq.llm.line_dedup import MOST_BITS, dedup_lines, forest_of, normal, simhash, within
-from fathomseq.llm.ngram_jaccard import jaccard_components
+from fathomseq.llm.ngram_jaccard import jaccard_components, slice_keys
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -100,6 +100,24 @@ def test_jaccard_large_group_is_tiled(spark, monkeypatch):
     assert {r.component_id for r in rows} == {0}
 
 
+@pytest.mark.parametrize("sizes", [(1073, 1129), (102_602, 107_891)])
+def test_slices_do_not_depend_on_the_batch(sizes):
+    sets = [np.sort(mix(np.arange(n).astype(U64) + U64(1))) for n in sizes]
+    alone = [set(slice_keys(s, np.array([0, len(s)]), 90)[0].tolist()) for s in sets]
+    keys, of = slice_keys(np.concatenate(sets), np.array([0, sizes[0], sum(sizes)]), 90)
+    assert alone == [set(keys[of == i].tolist()) for i in (0, 1)]
+    assert alone[0] & alone[1]
+
+
+def test_jaccard_links_across_pieces(spark):
+    long = [" ".join(f"word{i:015d}" for i in range(n + 2)) for n in (102_602, 107_891)]
+    short = [" ".join(f"w{i}" for i in range(n + 2)) for n in (1073, 1129)]
+    assert len(long[1]) > PIECE  # a batch of its own
+    rows = [(1, short[0]), (2, long[0]), (3, short[1]), (4, long[1])]
+    got = {r.doc_id: tuple(r)[1:] for r in jaccard_components(frame(spark, rows), 3, 90).collect()}
+    assert got == {1: (1073, 1), 2: (102_602, 2), 3: (1129, 1), 4: (107_891, 2)}
+
+
 def test_jaccard_edges(spark):
     rows = jaccard_components(frame(spark, [(7, "a b c d"), (3, "A b c d"), (None, "a b c d"), (5, ""), (3, "a b c d"), (9, None)]), 3, 90).collect()
     assert sorted((r.doc_id or -1, r.n_shingles, r.component_id) for r in rows) == [(-1, 2, None), (3, 2, 3), (3, 2, 3), (5, 0, 5), (7, 2, 3), (9, 0, 9)]
