@@ -132,7 +132,7 @@ def linker(k: int, percent: int):
     return link
 
 
-def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 90, id_col: str = "doc_id") -> DataFrame:
+def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id") -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of ``docs``.
 
     A text's set is its distinct ``k``-word shingles, A-Z lower-cased (its
@@ -187,7 +187,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 90, id_col: s
     )
 
 
-def keep_one(docs: DataFrame, k: int = 5, percent: int = 90) -> DataFrame:
+def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with the smallest doc_id of each group linked by ``jaccard_components``; all columns stay.
 
     Rows whose doc_id is null or whose text has no word stay. Of rows that
