@@ -163,6 +163,23 @@ def test_lines_against_brute_force(spark):
         assert out[d].text == (None if t is None else "\n".join(x for n, x in enumerate(t.split("\n")) if n not in want[d]))
 
 
+def test_lines_recall_of_edit_similarity(spark):
+    """Typos planted in real lines, and all their pairs of edit similarity 0.9, whatever their fingerprints."""
+    r = random.Random(8)
+    texts = [t.text for t in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").orderBy("doc_id").limit(300).collect()]
+    lines = sorted({normal(x): x for t in texts if t for x in t.split("\n") if 10 <= len(normal(x)) < 400}.values())[:250]
+    for x in list(lines):
+        at = r.choice([i for i, c in enumerate(x) if c.isalnum()])
+        lines.append(x[:at] + r.choice("bdxz") + x[at + 1 :])
+    forms = [normal(x) for x in lines]
+    links = [(j, i) for i in range(len(forms)) for j in range(i) if within(forms[i], forms[j], max(len(forms[i]), len(forms[j])) * 10 // 100)]
+    assert len(links) >= 200
+    want = groups(len(forms), links)
+    removed = {x.doc_id for x in dedup_lines(frame(spark, enumerate(lines))).collect() if x.removed_lines}
+    copies = {i for i, g in enumerate(want) if g != i}
+    assert removed <= copies and len(removed) >= 0.97 * len(copies)
+
+
 def test_line_edges(spark):
     long = " ".join(f"word{i}" for i in range(60_000))
     rows = [(1, "same line here"), (1, "same line here"), (None, "same line here"), (2, long), (3, long + "\nother thing")]
