@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that are hashed at once; a longer text is hashed alone.
-PIECE = 2 << 20
+PIECE = 1 << 17
 
 U64 = np.uint64
 _BASE = U64(0x9E3779B97F4A7C15)
@@ -155,11 +155,22 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"][:n], _powers["down"][:n]
 
 
+def _space(n: int) -> np.ndarray:
+    """An array whose content the next call may overwrite; taking memory anew for each piece costs more than the sums."""
+    if len(_powers.get("space", ())) < n:
+        _powers["space"] = np.empty(max(n, PIECE + 1024), U64)
+    return _powers["space"][:n]
+
+
 def spans_hash(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each span of ``values``, the same wherever the span lies."""
     up, down = powers(len(values) + 1)
-    total = np.zeros(len(values) + 1, U64)
-    np.cumsum((values.astype(U64) + U64(1)) * up[:-1], out=total[1:])
+    total = _space(len(values) + 1)
+    own = total[1:]
+    np.add(values, U64(1), out=own, casting="unsafe", dtype=U64)
+    own *= up[:-1]
+    total[0] = 0
+    np.cumsum(own, out=own)
     return mix((total[end] - total[start]) * down[start] + (end - start).astype(U64))
 
 
@@ -174,6 +185,11 @@ MARKS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 LOWER = _table(lambda b: b + 32 if 65 <= b <= 90 else b)
 
 
+def through(table: np.ndarray, raw: np.ndarray) -> np.ndarray:
+    """``table[raw]`` for a table of 256 bytes, without making indexes of the bytes."""
+    return np.frombuffer(raw.tobytes().translate(table.astype(np.uint8).tobytes()), np.uint8).view(table.dtype)
+
+
 class Words:
     """The words of many texts, as spans of bytes and as hashes.
 
@@ -181,19 +197,19 @@ class Words:
     """
 
     def __init__(self, raw: np.ndarray, at: np.ndarray, parts: np.ndarray = SPACES, lower: bool = True):
-        self.raw = LOWER[raw] if lower else raw
+        self.raw = through(LOWER, raw) if lower else raw
         if not len(raw):
             self.start = self.end = np.empty(0, np.int64)
             self.hash, self.first = np.empty(0, U64), np.zeros(len(at), np.int64)
             return
-        inside = ~parts[raw]
-        filled = at[1:] > at[:-1]
-        before, after = np.ones(len(raw), bool), np.ones(len(raw), bool)
-        before[1:], after[:-1] = ~inside[:-1], ~inside[1:]
-        before[at[:-1][filled]] = True
-        after[at[1:][filled] - 1] = True
-        self.start = np.flatnonzero(inside & before)
-        self.end = np.flatnonzero(inside & after) + 1
+        inside = through(~parts, raw)
+        turns = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+        turns = np.concatenate([[0] * int(inside[0]), turns, [len(raw)] * int(inside[-1])]).astype(np.int64)
+        self.start, self.end = turns[::2], turns[1::2]
+        cuts = np.unique(at[(at > 0) & (at < len(raw))])
+        cuts = cuts[inside[cuts - 1] & inside[cuts]]  # where a text ends and the next begins within a run
+        if len(cuts):
+            self.start, self.end = (np.sort(np.concatenate([x, cuts])) for x in (self.start, self.end))
         self.hash = spans_hash(self.raw, self.start, self.end)
         self.first = np.searchsorted(self.start, at)
 

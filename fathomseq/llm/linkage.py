@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .common import Scratch, runs
@@ -18,37 +18,53 @@ CHUNK_ROWS, CHUNK_UNITS = 1024, 1_500_000
 def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(id, component) for every end of an edge (a, b); the component is its smallest id.
 
-    Alternates large-star and small-star steps until the edges no longer
-    change; each step keeps at most one edge per vertex and former neighbour
-    and every round is written to the shared folder. Null ends are ignored.
+    In each round every vertex learns the least of its neighbours and itself,
+    takes it for its own and links its other neighbours to it. A vertex that is
+    less than all its neighbours says nothing, for they link to it or to less
+    themselves. The rounds end when no link but a vertex's own is left, so there
+    are about as many as the logarithm of the longest path. A round is one
+    shuffle by vertex, read as a sorted stream that holds one row of a vertex
+    however many neighbours it has, and is written to the shared folder. Null
+    ends are ignored; the result is such a table.
     """
-
-    def star(pairs: DataFrame, large: bool) -> DataFrame:
-        both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else pairs
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        if large:
-            return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        moved = both.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        return moved.union(least.select("a", F.col("m").alias("b")))
-
-    def tidy(pairs: DataFrame) -> DataFrame:
-        """Each edge once, from its larger to its smaller end."""
-        return pairs.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-
-    def mark(pairs: DataFrame) -> tuple:
-        row = pairs.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
-        return row[0], row[1]
-
-    now = scratch.cut(tidy(edges.select("a", "b")))
-    seen = mark(now)
-    while seen[0]:
-        after = scratch.cut(tidy(star(tidy(star(now, True)), False)))
+    now = scratch.cut(edges.select("a", "b").where("a <> b"))
+    while True:
+        ways = F.array(F.struct(F.col("a").alias("v"), F.col("b").alias("u")), F.struct(F.col("b").alias("v"), F.col("a").alias("u")))
+        spread = now.where("a <> b").select(F.inline(ways))  # the least of a group has a row of its own, which is no link
+        left = Observation()
+        told = spread.repartition("v").sortWithinPartitions("v", "u").mapInArrow(adopt_least, "a long, b long, own boolean")
+        after = scratch.cut(told.observe(left, F.count_if(~F.col("own")).alias("n")))
         scratch.drop(now)
-        now, before = after, seen
-        seen = mark(now)
-        if seen == before:
-            break
-    return now.select(F.col("a").alias("id"), F.col("b").alias("component")).union(now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
+        now = after
+        if not left.get["n"]:
+            return now.select(F.col("a").alias("id"), F.col("b").alias("component"))
+
+
+def adopt_least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One ``own`` row (vertex, least) of each vertex, and (neighbour, least) for the others' of a vertex that isn't the least.
+
+    The input (v, u) has each vertex with each of its neighbours, sorted by both.
+    """
+    last = (None, None, None)  # vertex, neighbour and least so far
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        v, u = (batch.column(i).to_numpy() for i in range(2))
+        same = np.append(v[0] == last[0], v[1:] == v[:-1])
+        fresh = ~same | np.append(u[0] != last[1], u[1:] != u[:-1])
+        v, u, same = v[fresh], u[fresh], same[fresh]
+        if not len(v):
+            continue
+        run = np.cumsum(~same) - 1
+        first = np.flatnonzero(~same)
+        heads = np.minimum(v[first], u[first])
+        least = np.where(run >= 0, heads[np.maximum(run, 0)], last[2]) if len(heads) else np.full(len(v), last[2])
+        other = same & (least < v)
+        last = (v[-1], u[-1], least[-1])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([v[first], u[other]])), pa.array(np.concatenate([heads, least[other]])), pa.array(np.arange(len(first) + int(other.sum())) < len(first))],
+            ["a", "b", "own"],
+        )
 
 
 def star_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,15 +91,16 @@ def star_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
 
-def tiles(members: DataFrame, units: str, scratch_key: str = "cluster") -> DataFrame:
+def tiles(members: DataFrame, units: str, scratch_key: str = "cluster", rows: int | None = None, most: int | None = None) -> DataFrame:
     """``members`` (cluster, id, ...) with a long ``tile``: every two members of a cluster meet in one tile.
 
-    A cluster within the chunk limits is one tile. A larger one is dealt into
-    chunks by a hash of the id and each pair of chunks is a tile, so that no
-    task holds more than two chunks however large the cluster is.
+    A cluster within the chunk limits (``rows`` members, ``most`` of ``units``)
+    is one tile. A larger one is dealt into chunks by a hash of the id and each
+    pair of chunks is a tile, so that no task holds more than two chunks however
+    large the cluster is.
     """
     sizes = members.groupBy(scratch_key).agg(
-        F.greatest(F.ceil(F.count("*") / CHUNK_ROWS), F.ceil(F.sum(units) / CHUNK_UNITS), F.lit(1)).cast("int").alias("chunks")
+        F.greatest(F.ceil(F.count("*") / (rows or CHUNK_ROWS)), F.ceil(F.sum(F.expr(units)) / (most or CHUNK_UNITS)), F.lit(1)).cast("int").alias("chunks")
     )
     dealt = members.join(sizes, scratch_key).withColumn("own", F.pmod(F.xxhash64("id"), F.col("chunks")))
     return (

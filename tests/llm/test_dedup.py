@@ -180,6 +180,41 @@ def test_lines_recall_of_edit_similarity(spark):
     assert removed <= copies and len(removed) >= 0.97 * len(copies)
 
 
+def test_line_recall_on_real_pairs(spark):
+    """Of all pairs of different lines of a table with edit similarity 0.9, at least 0.9 are in one group."""
+    texts = [t.text for t in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    lines = sorted({normal(x): x for t in texts if t for x in t.split("\n") if normal(x)}.values(), key=len)
+    forms = [normal(x) for x in lines]
+    counts = np.zeros((len(forms), 512), np.int32)  # an edit changes four counts of letter pairs at most
+    for row, f in zip(counts, forms, strict=True):
+        for a, b in zip(f[:-1], f[1:], strict=True):
+            row[(ord(a) * 31 + ord(b)) % 512] += 1
+    links, sizes = [], np.array([len(f) for f in forms])
+    for i, f in enumerate(forms):
+        most = np.maximum(sizes[:i], len(f)) // 10
+        for j in np.flatnonzero((np.abs(sizes[:i] - len(f)) <= most) & (np.abs(counts[:i] - counts[i]).sum(1) <= 4 * most)).tolist():
+            if within(f, forms[j], int(most[j])):
+                links.append((j, i))
+    want = groups(len(forms), links)
+    copies = {i for i, g in enumerate(want) if g != i}
+    removed = {x.doc_id for x in dedup_lines(frame(spark, enumerate(lines))).collect() if x.removed_lines}
+    assert len(links) >= 40 and removed <= copies and len(removed) >= 0.9 * len(copies)
+
+
+def test_long_runs_are_dealt_out(spark, monkeypatch):
+    """A key of very many lines gives the same groups."""
+    from fathomseq.llm import line_dedup
+
+    r = random.Random(12)
+    head = "the same three words begin all of these lines and "
+    docs = [head + " ".join(r.choice("abcdefgh") * 3 + str(r.randrange(30)) for _ in range(6)) for _ in range(150)]
+    docs += [x[:-1] + "z" for x in docs[:40]] + docs[:9]
+    want = {x.doc_id: x.removed_lines for x in dedup_lines(frame(spark, enumerate(docs))).collect()}
+    monkeypatch.setattr(line_dedup, "LONG_RUN", 20)
+    assert {x.doc_id: x.removed_lines for x in dedup_lines(frame(spark, enumerate(docs))).collect()} == want
+    assert sum(map(len, want.values())) >= 40
+
+
 def test_line_edges(spark):
     long = " ".join(f"word{i}" for i in range(60_000))
     rows = [(1, "same line here"), (1, "same line here"), (None, "same line here"), (2, long), (3, long + "\nother thing")]
