@@ -92,12 +92,13 @@ def star_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def tiles(members: DataFrame, units: str, scratch_key: str = "cluster", rows: int | None = None, most: int | None = None) -> DataFrame:
-    """``members`` (cluster, id, ...) with a long ``tile``: every two members of a cluster meet in one tile.
+    """``members`` (cluster, id, ...) with a long ``tile`` and a boolean ``side``: every two members of a cluster meet in one tile.
 
     A cluster within the chunk limits (``rows`` members, ``most`` of ``units``)
     is one tile. A larger one is dealt into chunks by a hash of the id and each
     pair of chunks is a tile, so that no task holds more than two chunks however
-    large the cluster is.
+    large the cluster is. In a tile of two chunks ``side`` tells them apart;
+    members of one of them meet in that chunk's own tile.
     """
     sizes = members.groupBy(scratch_key).agg(
         F.greatest(F.ceil(F.count("*") / (rows or CHUNK_ROWS)), F.ceil(F.sum(F.expr(units)) / (most or CHUNK_UNITS)), F.lit(1)).cast("int").alias("chunks")
@@ -105,11 +106,18 @@ def tiles(members: DataFrame, units: str, scratch_key: str = "cluster", rows: in
     dealt = members.join(sizes, scratch_key).withColumn("own", F.pmod(F.xxhash64("id"), F.col("chunks")))
     return (
         dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        .withColumn("side", F.col("own") <= F.col("other"))
         .withColumn("tile", F.xxhash64(scratch_key, F.least("own", "other"), F.greatest("own", "other")))
         .drop("own", "other", "chunks", scratch_key)
     )
 
 
+def sides(table: pa.Table) -> np.ndarray | None:
+    """The side of each row of a tile of two chunks, whose rows need comparing with the other side's only; else None."""
+    side = table.column("side").to_numpy()
+    return None if side.all() or not side.any() else side
+
+
 class Forest:
     """Union-find over 0 to n - 1."""
 

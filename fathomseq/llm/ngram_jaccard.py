@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import U64, Scratch, Words, arrow_map, mix, pieces, segment_sum, signed, text_bytes
-from .linkage import Forest, connected_components, star_edges, tiles, verified_edges
+from .linkage import Forest, connected_components, sides, star_edges, tiles, verified_edges
 
 SLICE_BITS = 1 << 16
 
@@ -107,9 +107,10 @@ def linker(k: int, percent: int):
         local = np.unique(hashes, return_inverse=True)[1]
         sets = [hashes[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
         sketches = sketch_rows(sets) if len(sets) > 2 else None
-        marked = np.zeros(int(local.max(initial=0)) + 1, bool)
+        marked, side = np.zeros(int(local.max(initial=0)) + 1, bool), sides(table)
         for i in range(len(sets) - 1):
             later = np.arange(i + 1, len(sets))
+            later = later if side is None else later[side[later] != side[i]]
             total = sizes[i] + sizes[later]
             apart = most_apart(percent, total)
             fits = (np.abs(sizes[later] - sizes[i]) <= apart) & (sizes[later] > 0)
@@ -171,13 +172,13 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
     rows = scratch.cut(arrow_map(docs, summarise, "doc_id long, n_shingles long, class_id long"))
     keys = docs.where("doc_id is not null").select("text").mapInArrow(emit, "key long, id long")
     stars = keys.repartition("key").sortWithinPartitions("key", "id").mapInArrow(star_edges, "a long, b long")
-    clusters = scratch.cut(connected_components(stars, scratch).withColumnRenamed("component", "cluster"))
+    clusters = connected_components(stars, scratch).withColumnRenamed("component", "cluster")
 
     classes = rows.where("n_shingles > 0 and doc_id is not null").groupBy("class_id").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"))
     members = classes.join(clusters, classes.class_id == clusters.id).select("doc_id", "id", "cluster", "n_shingles")
-    texts = tiles(members, "n_shingles").join(docs, "doc_id").select("tile", "id", "text")
+    texts = tiles(members, "n_shingles").join(docs, "doc_id").select("tile", "side", "id", "text")
     edges = verified_edges(texts, linker(k, percent))
-    linked = scratch.cut(connected_components(edges, scratch))
+    linked = connected_components(edges, scratch)
 
     classes = classes.join(linked, classes.class_id == linked.id, "left").select("class_id", F.coalesce("component", "class_id").alias("group"), "doc_id")
     named = classes.join(classes.groupBy("group").agg(F.min("doc_id").alias("component_id")), "group").select("class_id", "component_id")

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from fathomseq.llm.common import MARKS, PIECE, U64, Words, mix
-from fathomseq.llm.line_dedup import MOST_BITS, dedup_lines, forest_of, normal, simhash, within
+from fathomseq.llm.line_dedup import all_within, dedup_lines, forest_of, near, normal, simhash, within
 from fathomseq.llm.ngram_jaccard import jaccard_components, slice_keys
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -71,6 +71,27 @@ def test_within_is_levenshtein():
                 assert within(a, b, most) == (d <= most)
 
 
+def test_within_for_many():
+    r = random.Random(5)
+    for _ in range(40):
+        a, b = [], []
+        for _ in range(20):
+            x = "".join(r.choice("abé ") for _ in range(r.randrange(1, 40)))
+            y = list(x)
+            for _ in range(r.randrange(8)):
+                y[r.randrange(len(y) + 1) :][:1] = []
+                y.insert(r.randrange(len(y) + 1), r.choice("abé "))
+            a.append(x)
+            b.append("".join(y)[r.randrange(3) :])
+        most = np.array([r.randrange(8) for _ in a])
+        assert all_within(a, b, most).tolist() == [within(x, y, int(m)) for x, y, m in zip(a, b, most, strict=True)]
+
+
+def fp_near(x, y, a, b):
+    """Near fingerprints for lines of the sizes a and b."""
+    return bool(near(np.array([x], U64), np.array([y], U64), np.array([a]), np.array([b]), 90)[0])
+
+
 @pytest.mark.parametrize("k", [3, 5])
 def test_jaccard_against_brute_force(spark, k):
     texts = varied(11, 400, 150) + ["", None, " \t\n", "only", "ONLY", "two words", "two words "]
@@ -139,7 +160,7 @@ def line_groups(lines):
             if fps[i] is None or fps[j] is None:
                 continue
             n = max(len(forms[i]), len(forms[j]))
-            if forms[i] == forms[j] or ((fps[i] ^ fps[j]).bit_count() <= MOST_BITS and abs(len(forms[i]) - len(forms[j])) <= n and distance(forms[i], forms[j]) <= n * 10 // 100):
+            if forms[i] == forms[j] or (fp_near(fps[i], fps[j], len(forms[i]), len(forms[j])) and distance(forms[i], forms[j]) <= n * 10 // 100):
                 links.append((j, i))
     return groups(len(forms), links), fps
 
@@ -231,7 +252,7 @@ def test_forest_of_long_run():
     fp = np.unique(r.integers(0, 1 << 63, 30).astype(np.uint64)[r.integers(0, 30, 400)] ^ (np.uint64(1) << r.integers(0, 64, 400).astype(np.uint64)))
     fp = np.concatenate([fp, fp[:50]])
     ids = np.arange(len(fp)) + 1000
-    links = [(i, j) for i in range(len(fp)) for j in range(i) if int(fp[i] ^ fp[j]).bit_count() <= MOST_BITS]
+    links = [(i, j) for i in range(len(fp)) for j in range(i) if fp_near(fp[i], fp[j], 0, 0)]
     edges = forest_of(ids, fp)
     assert len(edges) < len(ids)
     assert groups(len(ids), [(a - 1000, b - 1000) for a, b in edges.tolist()]) == groups(len(ids), links)
