@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import MARKS, U64, Words, arrow_map, mix, pieces, text_bytes
-from .sampling import fold, labelled, sampled, sampled_texts
+from .sampling import fitted, fold, labelled, sampled, sampled_texts
 
 #: Features are hashed to 2 to this power.
 FEATURE_BITS = 18
@@ -144,8 +144,8 @@ def threshold(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
 def train(docs: DataFrame, labels: DataFrame, column: str = "quality", folds: int = 3, held_out: int = 1, per_class: int = SAMPLE_PER_CLASS) -> NbSvm:
     """Fits to at most ``per_class`` labelled rows of each class outside the fold ``held_out``.
 
-    Only the bounded sample's hashed features come to the driver. Labels are
-    read for no other row.
+    The bounded sample's hashed features meet in one task and only the weights
+    come to the driver. Labels are read for no other row.
     """
     sample = sampled(labelled(labels, column).where(fold(folds) != held_out), per_class)
 
@@ -154,9 +154,10 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "quality", folds: in
         rows = [found[a:b].astype(np.int32).tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(rows, pa.binary())], ["doc_id", "label", "found"])
 
-    got = arrow_map(sampled_texts(docs, sample), read, "doc_id long, label int, found binary").toArrow().sort_by("doc_id")
-    rows = [np.frombuffer(x.as_py(), np.int32) for x in got.column("found")]
-    return fit(rows, got.column("label").to_numpy())
+    return fitted(
+        arrow_map(sampled_texts(docs, sample), read, "doc_id long, label int, found binary"),
+        lambda got: fit([np.frombuffer(x.as_py(), np.int32) for x in got.column("found")], got.column("label").to_numpy()),
+    )
 
 
 def score_quality(docs: DataFrame, model: NbSvm, folds: int = 3, held_out: int = 1) -> DataFrame:

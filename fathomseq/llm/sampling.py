@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def fold(folds: int):
@@ -29,3 +34,14 @@ def sampled_texts(docs: DataFrame, sample: DataFrame) -> DataFrame:
     found = rows.join(F.broadcast(sample), "doc_id")
     first = Window.partitionBy("doc_id").orderBy("text")
     return found.withColumn("n", F.row_number().over(first)).where("n = 1").drop("n")
+
+
+def fitted(rows: DataFrame, fit: Callable[[pa.Table], object]) -> object:
+    """What ``fit`` makes of all ``rows`` of a bounded sample, by doc_id, in one task; only that comes to the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(batches, schema).sort_by("doc_id")
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(table))], pa.binary())], ["model"])
+
+    schema = to_arrow_schema(rows.schema)
+    return pickle.loads(rows.repartition(1).mapInArrow(run, "model binary").first()[0])

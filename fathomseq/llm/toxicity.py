@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import MARKS, U64, Words, arrow_map, mix, spans_hash, text_bytes
-from .sampling import fold, labelled, sampled, sampled_texts
+from .sampling import fitted, fold, labelled, sampled, sampled_texts
 
 FEATURE_BITS = 18
 #: Labelled rows of each class that a model is fitted to, at most.
@@ -124,7 +124,7 @@ def fit(parts: list[Sentences], labels: np.ndarray, rounds: int = 120, rate: flo
 
 
 def train(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0, per_class: int = SAMPLE_PER_CLASS) -> NoisyOr:
-    """Fits to at most ``per_class`` rows of each label outside the fold ``held_out``; only their hashed features come to the driver."""
+    """Fits to at most ``per_class`` rows of each label outside the fold ``held_out``. Their hashed features meet in one task and only the weights come to the driver."""
     sample = sampled(labelled(labels, "toxic").where(fold(folds) != held_out), per_class)
 
     def read(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -136,12 +136,14 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0,
             ends.append((at - at[0]).tolist())
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(rows, pa.binary()), pa.array(ends, pa.list_(pa.int64()))], ["doc_id", "label", "found", "ends"])
 
-    got = arrow_map(sampled_texts(docs, sample), read, "doc_id long, label int, found binary, ends array<long>").toArrow().sort_by("doc_id")
-    parts = []
-    for found, ends in zip(got.column("found"), got.column("ends"), strict=True):
-        at = np.array(ends.as_py(), np.int64)
-        parts.append(Sentences(np.frombuffer(found.as_py(), np.int32), at, at[:-1], at[1:], np.array([0, len(at) - 1])))
-    return fit(parts, got.column("label").to_numpy())
+    def fit_all(got: pa.Table) -> NoisyOr:
+        parts = []
+        for found, ends in zip(got.column("found"), got.column("ends"), strict=True):
+            at = np.array(ends.as_py(), np.int64)
+            parts.append(Sentences(np.frombuffer(found.as_py(), np.int32), at, at[:-1], at[1:], np.array([0, len(at) - 1])))
+        return fit(parts, got.column("label").to_numpy())
+
+    return fitted(arrow_map(sampled_texts(docs, sample), read, "doc_id long, label int, found binary, ends array<long>"), fit_all)
 
 
 def score_toxicity(docs: DataFrame, model: NoisyOr, folds: int = 5, held_out: int = 0) -> DataFrame:
