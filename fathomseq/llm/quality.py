@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import MARKS, U64, Words, arrow_map, mix, pieces, text_bytes
+from .common import MARKS, U64, Words, arrow_map, mix, pieces, text_bytes, through
 from .sampling import fitted, fold, labelled, sampled, sampled_texts
 
 #: Features are hashed to 2 to this power.
@@ -27,7 +27,8 @@ def shapes(words: Words, raw: np.ndarray) -> np.ndarray:
     """A hash of each word's look: its case, its marks, and how far back in its text it last stood, up to four words."""
 
     def count(flags: np.ndarray) -> np.ndarray:
-        total = np.concatenate([[0], np.cumsum(flags[raw])])
+        total = np.zeros(len(raw) + 1, np.int32)
+        np.cumsum(through(flags, raw), dtype=np.int32, out=total[1:])
         return total[words.end] - total[words.start]
 
     upper, letters, marks = count(_UPPER), count(_LETTER), count(MARKS)
