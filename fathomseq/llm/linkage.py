@@ -1,4 +1,4 @@
-"""Groups of linked things: star edges from sorted keys, connected components, and links verified within clusters."""
+"""Groups of linked things: keys with several ids, connected components, and links verified within clusters."""
 
 from __future__ import annotations
 
@@ -67,28 +67,26 @@ def adopt_least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def star_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b) from each key's first id to its other ids; the input (key, id) is sorted by both.
+def shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct rows (key, id) whose key has other ids too; the input is sorted by both.
 
-    Only the last key and its first id are kept between batches, so that a
-    key may have any number of ids.
+    Only one row is kept between batches, so that a key may have any number of ids.
     """
-    last_key = first = None
+    key = one = None  # the last row
+    told = False  # whether it was passed on
     for batch in batches:
         if not batch.num_rows:
             continue
         keys, ids = (batch.column(i).to_numpy() for i in range(2))
-        begins = np.ones(len(keys), bool)
-        begins[1:] = keys[1:] != keys[:-1]
-        if keys[0] == last_key:
-            begins[0] = False
-        head = np.cumsum(begins) - 1
-        heads = ids[begins]
-        center = np.where(head >= 0, heads[np.maximum(head, 0)] if len(heads) else 0, first if first is not None else 0)
-        last_key, first = keys[-1], center[-1]
-        other = center != ids
-        pairs = np.unique(np.stack([center[other], ids[other]], 1), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+        if key is not None:
+            keys, ids = np.append(key, keys), np.append(one, ids)
+        new = np.append(True, (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1]))
+        keys, ids = keys[new], ids[new]
+        alike = keys[1:] == keys[:-1]
+        keep = np.append(alike, False) | np.append(False, alike)
+        last, keep[0] = keep[-1] or (len(keep) == 1 and told), keep[0] and not told
+        key, one, told = keys[-1], ids[-1], bool(last)
+        yield pa.RecordBatch.from_arrays([pa.array(keys[keep]), pa.array(ids[keep])], ["key", "id"])
 
 
 def tiles(members: DataFrame, units: str, scratch_key: str = "cluster", rows: int | None = None, most: int | None = None) -> DataFrame:
@@ -142,12 +140,14 @@ class Forest:
         return self.up
 
 
-def verified_edges(tiled: DataFrame, link: Callable[[pa.Table, Forest], Iterator[tuple[int, int]]], parts: int | None = None) -> DataFrame:
+def verified_edges(tiled: DataFrame, link: Callable[[pa.Table, Forest], Iterator[tuple[int, int]]]) -> DataFrame:
     """(a, b) for the links that ``link`` finds within each tile; a forest of them, not all pairs.
 
     ``link`` gets a tile's rows and the forest joined so far, and yields pairs
-    of row numbers whose link it has verified.
+    of row numbers whose link it has verified. Tiles are dealt to a fixed number
+    of tasks, for they are small but take long.
     """
+    parts = int(tiled.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a: list[int] = []
@@ -165,4 +165,4 @@ def verified_edges(tiled: DataFrame, link: Callable[[pa.Table, Forest], Iterator
                 a, b = [], []
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return tiled.repartition("tile").sortWithinPartitions("tile").mapInArrow(verify, "a long, b long")
+    return tiled.repartition(parts, "tile").sortWithinPartitions("tile").mapInArrow(verify, "a long, b long")

@@ -5,7 +5,9 @@ differ in at most as many bits as the shingle sets differ in members. Sketches
 are cut into more slices than a linked pair may differ in members; by the
 pigeonhole principle linked sets share a slice. A slice is carried as a 64-bit
 hash of its set bits, so a sketch may have ``SLICE_BITS`` bits a slice and
-chance collisions are rare however large the corpus is.
+chance collisions are rare however large the corpus is. Sets that share a slice
+are compared by folded sketches, whose distance is at most the symmetric
+difference; what that leaves is compared by the sets themselves.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import U64, Scratch, Words, arrow_map, mix, pieces, segment_sum, signed, text_bytes
-from .linkage import Forest, connected_components, sides, star_edges, tiles, verified_edges
+from .linkage import Forest, connected_components, shared_keys, sides, tiles, verified_edges
 
 SLICE_BITS = 1 << 16
 
@@ -87,26 +89,59 @@ def set_ids(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
     return mix(segment_sum(mix(hashes + U64(0x632BE59BD9B4E019)), at) ^ np.diff(at).astype(U64))
 
 
-def sketch_rows(sets: list[np.ndarray]) -> np.ndarray:
-    """A parity sketch of each set, of four bits for each member of the largest."""
-    bits = 64 * -(-4 * max(map(len, sets)) // 64)
-    out = np.zeros((len(sets), bits), np.uint8)
-    for row, s in zip(out, sets, strict=True):
-        row[:] = np.bincount((mix(s) % U64(bits)).astype(np.int64), minlength=bits) & 1
-    return np.packbits(out, axis=1).view(U64)
+def sketch(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """The parity sketch of a set: bit b tells whether an odd number of members have the hash b modulo ``bits``, a power of two from 64 on."""
+    odd = np.bincount((mix(hashes) & U64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(U64)
+
+
+def sketch_bits(size: int) -> int:
+    """A bit for each member, at least."""
+    return max(64, 1 << int(size - 1).bit_length())
+
+
+def folded(sketches: list[np.ndarray]) -> np.ndarray:
+    """The sketches with as many bits as the shortest has: what a shorter sketch of the same set is."""
+    words = min(map(len, sketches))
+    return np.stack([np.bitwise_xor.reduce(x.reshape(-1, words)) for x in sketches])
+
+
+def near_forest(percent: int):
+    """(a, b) for ids of one tile whose sizes and sketches allow a link; a forest of them. The input (id, size, sketch, tile, side) is sorted by tile."""
+
+    def link(table: pa.Table, forest: Forest) -> Iterator[tuple[int, int]]:
+        size, side = table.column("size").to_numpy(), sides(table)
+        sketches = folded([np.frombuffer(x.as_py(), U64) for x in table.column("sketch")])
+        rows = np.arange(len(size))
+        for i in range(len(size) - 1):
+            later = rows[i + 1 :]
+            later = later if side is None else later[side[later] != side[i]]
+            apart = most_apart(percent, size[later] + size[i])
+            fits = np.abs(size[later] - size[i]) <= apart
+            later, apart = later[fits], apart[fits]
+            later, apart = (x[forest.roots()[later] != forest.find(i)] for x in (later, apart))
+            if len(later):
+                for j in later[np.bitwise_count(sketches[later] ^ sketches[i]).sum(1, dtype=np.int64) <= apart].tolist():
+                    yield i, j
+
+    return link
 
 
 def linker(k: int, percent: int):
     """Finds linked rows of a tile: sketches first, then the sets themselves."""
 
     def link(table: pa.Table, forest: Forest) -> Iterator[tuple[int, int]]:
-        text = table.column("text").combine_chunks()
-        hashes, at = Words(*text_bytes(text)).sets(k)
-        asked = set_ids(hashes, at).view(np.int64) == table.column("id").to_numpy()  # not another text of the same doc_id
-        sizes = np.where(asked, np.diff(at), 0)
-        local = np.unique(hashes, return_inverse=True)[1]
-        sets = [hashes[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
-        sketches = sketch_rows(sets) if len(sets) > 2 else None
+        sets, ids = [], []
+        for batch in table.select(["text"]).to_batches():
+            for piece in pieces(batch):  # of bounded text
+                hashes, at = Words(*text_bytes(piece.column("text"))).sets(k)
+                ids.append(set_ids(hashes, at))
+                sets += [hashes[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+        asked = np.concatenate(ids).view(np.int64) == table.column("id").to_numpy()  # not another text of the same doc_id
+        sizes = np.where(asked, [len(x) for x in sets], 0)
+        at = np.cumsum([0, *map(len, sets)])
+        local = np.unique(np.concatenate(sets), return_inverse=True)[1]
+        sketches = folded([sketch(x, 2 * sketch_bits(max(map(len, sets)))) for x in sets]) if len(sets) > 2 else None
         marked, side = np.zeros(int(local.max(initial=0)) + 1, bool), sides(table)
         for i in range(len(sets) - 1):
             later = np.arange(i + 1, len(sets))
@@ -150,7 +185,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
 
     def summarise(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         hashes, at = Words(*text_bytes(batch.column("text"))).sets(k)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(at)), signed(set_ids(hashes, at))], ["doc_id", "n_shingles", "class_id"])
+        sketches = [sketch(hashes[a:b], sketch_bits(b - a)).tobytes() if b > a else None for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(at)), signed(set_ids(hashes, at)), pa.array(sketches, pa.binary())], ["doc_id", "n_shingles", "class_id", "sketch"])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -169,21 +205,24 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
                 keep = fresh[of]
                 yield pa.RecordBatch.from_arrays([signed(keys[keep]), signed(ids[of[keep]])], ["key", "id"])
 
-    rows = scratch.cut(arrow_map(docs, summarise, "doc_id long, n_shingles long, class_id long"))
+    rows = scratch.cut(arrow_map(docs, summarise, "doc_id long, n_shingles long, class_id long, sketch binary"))
+    classes = rows.where("n_shingles > 0 and doc_id is not null").groupBy("class_id").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.max("sketch").alias("sketch"))
+    classes = scratch.cut(classes)
     keys = docs.where("doc_id is not null").select("text").mapInArrow(emit, "key long, id long")
-    stars = keys.repartition("key").sortWithinPartitions("key", "id").mapInArrow(star_edges, "a long, b long")
-    clusters = connected_components(stars, scratch).withColumnRenamed("component", "cluster")
+    shared = scratch.cut(keys.repartition("key").sortWithinPartitions("key", "id").mapInArrow(shared_keys, "key long, id long"))
+    met = shared.join(classes, shared.id == classes.class_id).select(F.col("key").alias("cluster"), "id", F.col("n_shingles").alias("size"), "sketch")
+    near = verified_edges(tiles(met, "size"), near_forest(percent))
+    clusters = connected_components(near, scratch).withColumnRenamed("component", "cluster")
 
-    classes = rows.where("n_shingles > 0 and doc_id is not null").groupBy("class_id").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"))
     members = classes.join(clusters, classes.class_id == clusters.id).select("doc_id", "id", "cluster", "n_shingles")
     texts = tiles(members, "n_shingles").join(docs, "doc_id").select("tile", "side", "id", "text")
     edges = verified_edges(texts, linker(k, percent))
     linked = connected_components(edges, scratch)
 
-    classes = classes.join(linked, classes.class_id == linked.id, "left").select("class_id", F.coalesce("component", "class_id").alias("group"), "doc_id")
+    classes = classes.drop("sketch").join(linked, classes.class_id == linked.id, "left").select("class_id", F.coalesce("component", "class_id").alias("group"), "doc_id")
     named = classes.join(classes.groupBy("group").agg(F.min("doc_id").alias("component_id")), "group").select("class_id", "component_id")
     return (
-        rows.join(named, "class_id", "left")
+        rows.drop("sketch").join(named, "class_id", "left")
         .select("doc_id", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
     )
 

@@ -1,4 +1,4 @@
-"""Components, star edges, tiles and runs."""
+"""Components, shared keys, tiles and runs."""
 
 import random
 
@@ -41,15 +41,15 @@ def batches(rows, names, sizes):
         at += n
 
 
-def test_runs_and_stars_cross_batches():
+def test_runs_and_shared_keys_cross_batches():
     r = random.Random(2)
-    rows = sorted((r.randrange(6), r.randrange(40)) for _ in range(60))
+    rows = sorted((r.randrange(6), r.randrange(40)) for _ in range(52)) + [(9, 1), (9, 1), (11, 2), (12, 5), (12, 6), (12, 6), (12, 7), (13, 1)]
     for sizes in ([60], [1] * 60, [7, 0, 20, 33]):
         found = [(t.column("key")[0].as_py(), t.column("id").to_pylist()) for t in runs(batches(rows, ["key", "id"], sizes), "key")]
         assert found == [(k, [i for x, i in rows if x == k]) for k in sorted({k for k, _ in rows})]
-        edges = {(a, b) for e in linkage.star_edges(batches(rows, ["key", "id"], sizes)) for a, b in zip(*(c.to_pylist() for c in e.columns), strict=True)}
-        first = {k: min(i for x, i in rows if x == k) for k, _ in rows}
-        assert edges == {(first[k], i) for k, i in rows if i != first[k]}
+        shared = [(a, b) for e in linkage.shared_keys(batches(rows, ["key", "id"], sizes)) for a, b in zip(*(c.to_pylist() for c in e.columns), strict=True)]
+        many = [k for k, _ in sorted(set(rows))]
+        assert shared == [(k, i) for k, i in sorted(set(rows)) if many.count(k) > 1]
 
 
 def test_tiles_bring_every_pair_together(spark, monkeypatch):
