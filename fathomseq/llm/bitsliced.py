@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -9,8 +11,8 @@ from pyspark.sql import functions as F
 
 from .common import U64
 
-#: Rows and queries that one task compares, as blocks.
-BLOCK_ROWS, BLOCK_QUERIES = 16_384, 512
+#: Rows of one index.
+BLOCK_ROWS = 8192
 
 
 class BitSlices:
@@ -27,11 +29,11 @@ class BitSlices:
         self.full = np.packbits(self.full, bitorder="little").view(U64)
         self.low = values.min(axis=0)
         self.slices: list[list[np.ndarray]] = []
-        for column in (values - self.low).T:
+        for column in (values.view(U64) - self.low.view(U64)).T:  # unsigned, for the span of longs is no long
             bits = int(column.max()).bit_length()
-            padded = np.zeros(words * 64, np.int64)
+            padded = np.zeros(words * 64, U64)
             padded[: self.n] = column
-            self.slices.append([np.packbits((padded >> j & 1).astype(np.uint8), bitorder="little").view(U64) for j in range(bits)])
+            self.slices.append([np.packbits((padded >> U64(j) & U64(1)).astype(np.uint8), bitorder="little").view(U64) for j in range(bits)])
         self.flipped = [[~s & self.full for s in own] for own in self.slices]
 
     def products(self, query: np.ndarray) -> list[np.ndarray | None]:
@@ -41,7 +43,8 @@ class BitSlices:
         a negative weight adds the complement. Adders of three bitmaps to two
         reduce each column of bitmaps to one.
         """
-        columns: list[list[np.ndarray]] = [[] for _ in range(80)]
+        most = max(map(len, self.slices)) + max(abs(w).bit_length() for w in query.tolist())
+        columns: list[list[np.ndarray]] = [[] for _ in range(most + len(self.slices).bit_length() + 2)]
         for weight, plain, flipped in zip(query.tolist(), self.slices, self.flipped, strict=True):
             own = plain if weight > 0 else flipped
             weight = abs(weight)
@@ -95,45 +98,69 @@ def top_products(vectors: DataFrame, every: int, k: int = 5, scale: int = 256) -
     """(query_id, rank, vec_id, score): the ``k`` largest inner products of each query with the other rows.
 
     Queries are the rows whose vec_id is divisible by ``every``. Components
-    are quantised to floor(``scale`` * x) and their products summed exactly,
-    for sums under 2**62. Equal scores are ranked by vec_id. A query is compared
-    with the rows of its own number of components, but for those of its own
-    vec_id. Rows that repeat a vec_id count once, the least vector of them.
-    Rows with a null id or vector, or a null or non-finite component, take no
-    part. Queries and rows meet in blocks, each pair of blocks in one task.
+    are quantised to floor(``scale`` * x), as longs, and their products summed
+    exactly; a sum beyond a long is given as the nearest long and ranks within
+    its block of rows by its true value. Equal scores are ranked by vec_id. A
+    query is compared with the rows of its own number of components, but for
+    those of its own vec_id. Equal rows count once; of different vectors with
+    the vec_id of a query the least asks. Rows with a null id or vector, or a
+    null or non-finite component, take no part. Rows are dealt to blocks, each
+    of which is indexed once, and every query is sent to every block.
     """
-    rows = quantised(vectors, scale).groupBy("vec_id").agg(F.min("v").alias("v"))
-    asked = rows.where(F.col("vec_id") % every == 0)
-    row_blocks, query_blocks = (max(1, -(-df.count() // size)) for df, size in ((rows, BLOCK_ROWS), (asked, BLOCK_QUERIES)))
-    dim = F.size("v").alias("dim")
-    # keys of one type on both sides, or equal keys would be dealt to different tasks
-    left = asked.select("vec_id", "v", dim, F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(query_blocks)).cast("int").alias("q"), F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1))).alias("r"))
-    right = rows.select("vec_id", "v", dim, F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("q"), F.pmod(F.xxhash64("vec_id"), F.lit(row_blocks)).cast("int").alias("r"))
-
-    def search(queries: pa.Table, block: pa.Table) -> pa.Table:
-        found: list[np.ndarray] = []
-        if queries.num_rows and block.num_rows:
-            block = block.sort_by("vec_id")
-            ids, values = block.column("vec_id").to_numpy(), matrix(block)
-            index = BitSlices(values)
-            for query_id, query in zip(queries.column("vec_id").to_numpy(), matrix(queries), strict=True):
-                allowed = index.full
-                own = int(np.searchsorted(ids, query_id))
-                if own < len(ids) and ids[own] == query_id:
-                    allowed = allowed.copy()
-                    allowed[own // 64] &= ~(U64(1) << U64(own % 64))
-                best = index.top(query, k, allowed)
-                found.append(np.stack([np.full(len(best), query_id), ids[best], values[best] @ query]))
-        out = np.concatenate([np.empty((3, 0), np.int64), *found], axis=1)
-        return pa.table({"query_id": out[0], "vec_id": out[1], "score": out[2]})
-
-    keys = ["dim", "q", "r"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, "query_id long, vec_id long, score long")
+    rows = quantised(vectors, scale).distinct()
+    asked = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
+    blocks = max(1, -(-rows.count() // BLOCK_ROWS))
+    stored = rows.select(F.size("v").alias("dim"), F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"), F.lit(0).alias("kind"), "vec_id", "v")
+    sent = asked.select(F.size("v").alias("dim"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(1).alias("kind"), "vec_id", "v")
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Holds one block's index and a batch of queries at a time; a block's rows come before its queries."""
+        at, held, index, ids = None, [], None, None
+        for batch in batches:
+            places = np.stack([batch.column(c).to_numpy() for c in ("dim", "block", "kind")], 1)
+            edges = np.flatnonzero((places[1:] != places[:-1]).any(1)) + 1
+            for part in (batch.slice(a, b - a) for a, b in zip([0, *edges], [*edges, len(places)], strict=True) if b > a):
+                own = tuple(part.column(c)[0].as_py() for c in ("dim", "block"))
+                if own != at:
+                    at, held, index = own, [], None
+                if part.column("kind")[0].as_py() == 0:
+                    held.append(pa.Table.from_batches([part]))
+                elif held or index is not None:
+                    if index is None:
+                        block = pa.concat_tables(held)
+                        held, ids, index = [], block.column("vec_id").to_numpy(), BitSlices(matrix(block))
+                    yield answers(index, ids, pa.Table.from_batches([part]), k)
+
+    found = stored.union(sent).repartition("dim", "block").sortWithinPartitions("dim", "block", "kind", "vec_id").mapInArrow(search, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
+def answers(index: BitSlices, ids: np.ndarray, queries: pa.Table, k: int) -> pa.RecordBatch:
+    """(query_id, vec_id, score) of the ``k`` best rows of a block, whose ascending vec_ids are ``ids``."""
+    found = [np.empty((3, 0), np.int64)]
+    for query_id, query in zip(queries.column("vec_id").to_numpy(), matrix(queries), strict=True):
+        allowed, (lo, hi) = index.full, np.searchsorted(ids, [query_id, query_id + 1])
+        if hi > lo:
+            allowed = allowed.copy()
+            for own in range(lo, hi):
+                allowed[own // 64] &= ~(U64(1) << U64(own % 64))
+        best = index.top(query, k, allowed)
+        found.append(np.stack([np.full(len(best), query_id), ids[best], products(index.values[best], query)]))
+    out = np.concatenate(found, axis=1)
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in out], ["query_id", "vec_id", "score"])
+
+
+def products(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Inner products, at the ends of the longs where they are beyond."""
+    if np.abs(rows.astype(float)).max(initial=0) * np.abs(query.astype(float)).max(initial=0) * len(query) < 2.0**62:
+        return rows @ query
+    sums = [sum(a * b for a, b in zip(row, query.tolist(), strict=True)) for row in rows.tolist()]
+    return np.array([min(max(x, -(1 << 63)), (1 << 63) - 1) for x in sums], np.int64)
+
+
 def matrix(table: pa.Table) -> np.ndarray:
     """The rows of column v, which have one length."""
     v = table.column("v").combine_chunks()
-    return v.flatten().to_numpy().reshape(len(v), -1)
+    v = v.combine_chunks() if isinstance(v, pa.ChunkedArray) else v
+    return np.ascontiguousarray(v.flatten().to_numpy().reshape(len(v), -1))

@@ -15,6 +15,8 @@ from .common import MARKS, U64, Scratch, Words, arrow_map, mix, signed, spans_ha
 #: Bits of the seed filter are at most 2 to this power: 8 MB to each executor, however many items there are.
 FILTER_BITS = 26
 PROBES = 3
+#: Pairs of equal windows that are listed at once.
+MOST_PAIRS = 1_000_000
 
 
 def tile(doc: np.ndarray, item: np.ndarray, least: int) -> list[tuple[int, int, int]]:
@@ -23,6 +25,8 @@ def tile(doc: np.ndarray, item: np.ndarray, least: int) -> list[tuple[int, int,
     Karp-Rabin hashes of windows of ``least`` tokens give the matches; runs
     along a diagonal are maximal matches. The longest is marked, and what
     marks leave of the others is matched again while ``least`` tokens long.
+    Texts that repeat themselves so much that ``MOST_PAIRS`` windows match are
+    tiled alike with memory in proportion to their lengths.
     """
     if len(doc) < least or len(item) < least:
         return []
@@ -31,6 +35,8 @@ def tile(doc: np.ndarray, item: np.ndarray, least: int) -> list[tuple[int, int,
     order = np.argsort(hash_i, kind="stable")
     lo, hi = (np.searchsorted(hash_i[order], hash_d, side=s) for s in ("left", "right"))
     many = hi - lo
+    if many.sum() > MOST_PAIRS:
+        return tile_by_length(doc, item, least)
     d = np.repeat(begin_d, many)
     i = order[np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(lo, many)]
     along = np.lexsort((d, d - i))
@@ -56,6 +62,44 @@ def tile(doc: np.ndarray, item: np.ndarray, least: int) -> list[tuple[int, int,
     return tiles
 
 
+def tile_by_length(doc: np.ndarray, item: np.ndarray, least: int) -> list[tuple[int, int, int]]:
+    """``tile`` without a list of matches: the greatest length that still matches is found by halving, and its matches are marked one by one."""
+    free_d, free_i = np.ones(len(doc), bool), np.ones(len(item), bool)
+
+    def windows(text: np.ndarray, free: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        total = np.concatenate([[0], np.cumsum(free)])
+        begin = np.flatnonzero(total[n:] - total[:-n] == n)
+        return begin, spans_hash(text, begin, begin + n)
+
+    def matching(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        (begin_d, hash_d), (begin_i, hash_i) = windows(doc, free_d, n), windows(item, free_i, n)
+        both = np.isin(hash_d, hash_i)
+        return begin_d[both], hash_d[both], begin_i, hash_i
+
+    tiles, most = [], min(len(doc), len(item))
+    while True:
+        lo, hi = least - 1, most
+        while lo < hi:
+            mid = (lo + hi + 1) // 2
+            lo, hi = (mid, hi) if len(matching(mid)[0]) else (lo, mid - 1)
+        if lo < least:
+            return tiles
+        most, (begin_d, hash_d, begin_i, hash_i) = lo, matching(lo)
+        order = np.lexsort((begin_i, hash_i))
+        by_hash, places = hash_i[order], begin_i[order]
+        end = -1
+        for x, h in zip(begin_d.tolist(), hash_d, strict=True):
+            if x < end:
+                continue
+            a, b = np.searchsorted(by_hash, h, "left"), np.searchsorted(by_hash, h, "right")
+            for y in places[a:b].tolist():
+                if free_i[y] and free_i[y + lo - 1] and free_i[y : y + lo].all():
+                    free_d[x : x + lo] = free_i[y : y + lo] = False
+                    tiles.append((x, y, lo))
+                    end = x + lo
+                    break
+
+
 def probes(hashes: np.ndarray, bits: int) -> Iterator[np.ndarray]:
     for p in range(PROBES):
         yield mix(hashes + U64(p * 0x9E3779B9 + 1)) >> U64(64 - bits)

@@ -5,7 +5,7 @@ import random
 import numpy as np
 
 from fathomseq.llm.common import U64
-from fathomseq.llm.decontaminate import decontaminate, leaks, tile
+from fathomseq.llm.decontaminate import decontaminate, leaks, tile, tile_by_length
 
 DOCS = "doc_id long, text string, extra int, row_key string"
 LETTERS = "".join(chr(b) if chr(b).isalnum() else " " for b in range(128))
@@ -49,6 +49,17 @@ def test_tiles():
                 assert a[x : x + 3] != b[y : y + 3] or used_a & {x, x + 1, x + 2} or used_b & {y, y + 1, y + 2}
 
 
+def test_tiles_of_repetitive_texts():
+    r = random.Random(4)
+    for _ in range(80):
+        a, b = (np.array([r.randrange(2) for _ in range(r.randrange(40))], U64) for _ in range(2))
+        covered = [sum(n for *_, n in t) for t in (tile(a, b, 3), tile_by_length(a, b, 3))] if len(a) >= 3 and len(b) >= 3 else [0, 0]
+        longest = [max([0, *(n for *_, n in t)]) for t in (tile(a, b, 3), tile_by_length(a, b, 3))] if len(a) >= 3 and len(b) >= 3 else [0, 0]
+        assert longest[0] == longest[1] and abs(covered[0] - covered[1]) <= 6  # ties may be cut differently
+    same = np.zeros(20_000, U64)
+    assert tile(same, same, 5) == [(0, 0, 20_000)]
+
+
 def words(text):
     return "".join(LETTERS[ord(c)] if ord(c) < 128 else c for c in (text or "")).lower().split()
 

@@ -86,7 +86,6 @@ def test_warc_audit(spark, tmp_path):
 
 def test_top_products(spark, monkeypatch):
     monkeypatch.setattr(bitsliced, "BLOCK_ROWS", 70)
-    monkeypatch.setattr(bitsliced, "BLOCK_QUERIES", 7)
     r = np.random.default_rng(4)
     rows = [(i, r.normal(0, 0.5, 9).round(2).tolist()) for i in range(300)]
     rows += [(i, rows[50][1]) for i in range(300, 340)]  # ties
@@ -107,6 +106,28 @@ def test_top_products(spark, monkeypatch):
     assert bitsliced.top_products(frame.limit(0), 10).count() == 0
 
 
+def test_top_products_of_large_components(spark):
+    """Sums within a long are exact; those beyond are the nearest long and rank by their true value."""
+    rows = [(10, [1e10, 1.0]), (1, [1e10, 2.0]), (2, [1e10, 1.0]), (3, [-1e10, 1.0]), (4, [1e18, 0.0]), (20, [2.0**24, 1.0]), (5, [2.0**22, 1.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r.query_id, r.vec_id): (r["rank"], r.score) for r in bitsliced.top_products(frame, 10, k=10).collect()}
+    ends = {i: [min(max(int(np.floor(256 * x)), -(2**63)), 2**63 - 1) for x in v] for i, v in rows}
+    for q in (10, 20):
+        for i in ends:
+            if i != q:
+                true = sum(a * b for a, b in zip(ends[q], ends[i], strict=True))
+                assert got[q, i][1] == min(max(true, -(2**63)), 2**63 - 1)
+        assert sorted(r for (a, _), (r, _) in got.items() if a == q) == [1, 2, 3, 4, 5, 6]
+
+
+def test_bit_slices_beyond_a_long():
+    values = np.array([[1 << 41, 1], [5, 1 << 41], [-(1 << 62), 7], [(1 << 63) - 1, -(1 << 63)]], np.int64)
+    index = bitsliced.BitSlices(values)
+    for query in values:
+        scores = [sum(a * b for a, b in zip(row, query.tolist(), strict=True)) for row in values.tolist()]
+        assert set(index.top(query, 2, index.full).tolist()) == set(sorted(range(4), key=lambda i: -scores[i])[:2])
+
+
 def test_bit_slices_of_large_numbers():
     r = np.random.default_rng(5)
     values = r.integers(-(1 << 25), 1 << 25, (130, 4))
