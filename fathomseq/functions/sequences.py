@@ -23,7 +23,8 @@ def a_richness(seq: Column, short: int = 6, long: int = 19) -> Column:
 
 def share_of(seq: Column, base: str) -> Column:
     """Share of ``base`` in a sequence; null where there is none."""
-    return F.try_divide(F.regexp_count(seq, F.lit(base)).cast("double"), F.length(seq).cast("double"))
+    count = F.length(seq) - F.length(F.replace(seq, F.lit(base), F.lit("")))
+    return F.try_divide(count.cast("double"), F.length(seq).cast("double"))
 
 
 def last_op_length(cigar: Column, soft_only: bool = False) -> Column:

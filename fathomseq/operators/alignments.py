@@ -18,12 +18,13 @@ def tail_scores(reads: DataFrame, strict_softclip: bool = False) -> DataFrame:
     kept = reads.where("cigar <> '*' and seq <> '*'")
     reverse = S.is_reverse(F.col("flag"))
     n = F.when(reverse, S.first_op_length(F.col("cigar"), strict_softclip)).otherwise(S.last_op_length(F.col("cigar"), strict_softclip))
-    kept = kept.withColumn("n_clipped", n).withColumn("strand", F.when(reverse, "-").otherwise("+"))
+    # made by inline, which filters above aren't pushed through, so that each is worked out once
+    kept = kept.select("qname", "seq", F.inline(F.array(F.struct(n.alias("n_clipped"), F.when(reverse, "-").otherwise("+").alias("strand")))))
     start = F.length("seq") - F.col("n_clipped") + (1 if strict_softclip else -1)
     start = F.when(start < -F.length("seq"), 1).otherwise(start)
     end = F.substring(F.col("seq"), start.cast("int"), F.length("seq"))
     clipped = F.when(F.col("strand") == "-", F.substring(F.col("seq"), F.lit(1), F.col("n_clipped").cast("int"))).otherwise(end)
-    kept = kept.withColumn("clipped", clipped)
+    kept = kept.select("qname", "n_clipped", "strand", F.inline(F.array(F.struct(clipped.alias("clipped")))))
     fraction = F.when(F.col("strand") == "-", S.share_of(F.col("clipped"), "T")).otherwise(S.share_of(F.col("clipped"), "A"))
     return kept.select("qname", "strand", "n_clipped", "clipped", fraction.alias("fraction"))
 

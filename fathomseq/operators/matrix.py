@@ -49,8 +49,8 @@ def bind_samples(frames: dict[str, DataFrame]) -> DataFrame:
 
 
 def rename_samples(long: DataFrame, pattern: str = ".aligned.md", to: str = "") -> DataFrame:
-    """Sample names with the first match of a regular expression replaced; ``.`` fits any character."""
-    return long.withColumn("sample", F.expr(f"regexp_replace(sample, '^(.*?){pattern}', '$1{to}')"))
+    """Sample names with each match of a regular expression replaced; ``.`` fits any character."""
+    return long.withColumn("sample", F.regexp_replace("sample", F.lit(pattern), F.lit(to)))
 
 
 def presence(long: DataFrame, at_least: float | None = None) -> DataFrame:
@@ -113,3 +113,10 @@ def cap_per_group(rows: DataFrame, groups: list[str], order: list[str], most: in
 def sample_of_file(path: Column, ending: str) -> Column:
     """The file's name without its folder and ``ending`` (a regular expression)."""
     return F.regexp_replace(F.regexp_extract(path, r"([^/]*)$", 1), re.compile(ending).pattern + "$", "")
+
+
+def in_order_or_fail(rows: DataFrame, ordered: DataFrame, key: str) -> DataFrame:
+    """Rows with ``ord``, one for each row of ``ordered`` (id, ord), sorted by it; an id without a row is an error."""
+    found = F.when(F.col(key).isNotNull(), F.col(key)).otherwise(F.raise_error(F.concat(F.lit("nothing is named "), F.coalesce("id", F.lit("null")))))
+    joined = ordered.select("id", F.col("ord").alias("place")).join(rows.drop("ord"), F.col("id") == F.col(key), "left").withColumn(key, found)
+    return joined.orderBy("place").select(*[c for c in rows.columns if c != "ord"], F.col("place").alias("ord"))

@@ -10,6 +10,8 @@ from ..functions.sequences import a_richness, leading_a_run, plain_category
 FULL_MATCH = "full splice match"
 #: Limits of the rule: fewer leading A, a smaller percentage of A, and no greater A-richness.
 MOST_RUN, MOST_PERCENT, MOST_RICHNESS = 6, 60, 15
+#: Coverage of junctions that is low below: in a sample, and in all.
+LEAST_SAMPLE_COVERAGE, LEAST_COVERAGE = 5, 50
 
 
 def with_scores(table: DataFrame) -> DataFrame:
@@ -30,14 +32,14 @@ def passing(table: DataFrame) -> DataFrame:
     return judge(with_scores(table)).where("filter_pass")
 
 
-def reject_reasons(table: DataFrame, least_coverage: float = 1.0) -> DataFrame:
-    """(isoform, not_full_match, rts, low_coverage, a_run, a_percent, a_rich) of the transcripts that do not pass."""
+def reject_reasons(table: DataFrame) -> DataFrame:
+    """(isoform, not_full_match, rts, low_coverage, a_run, a_percent, a_rich) of the transcripts that do not pass; an unknown coverage is low."""
     rejected = judge(with_scores(table)).where("not filter_pass")
     return rejected.select(
         "isoform",
         F.coalesce(F.col("structural_category") != FULL_MATCH, F.lit(True)).alias("not_full_match"),
         F.coalesce(F.col("RTS_stage"), F.lit(False)).alias("rts"),
-        F.coalesce(F.col("min_cov") < least_coverage, F.lit(True)).alias("low_coverage"),
+        F.coalesce((F.col("min_sample_cov") < LEAST_SAMPLE_COVERAGE) | (F.col("min_cov") < LEAST_COVERAGE), F.lit(True)).alias("low_coverage"),
         (F.col("N_A_downstream_TTS") >= MOST_RUN).alias("a_run"),
         F.coalesce(F.col("perc_A_downstream_TTS") >= MOST_PERCENT, F.lit(False)).alias("a_percent"),
         F.coalesce(F.col("rc_score") > MOST_RICHNESS, F.lit(False)).alias("a_rich"),

@@ -25,10 +25,13 @@ def filter_expression(long: DataFrame, features: DataFrame, drop_mono_exonic: bo
 
 
 def filter_by_quality(classified: DataFrame, counts: DataFrame, cpm: DataFrame | None, features: DataFrame, sequences: DataFrame) -> dict[str, DataFrame]:
-    """Tables cut down to the transcripts that pass the quality rule, and the reasons of the others."""
+    """Tables cut down to the transcripts that pass the quality rule, and the reasons of the others.
+
+    Sequences are in the order of the classified transcripts, and a transcript without one is an error.
+    """
     passed = quality.passing(classified)
     ids = passed.select(F.col("isoform").alias("id"))
-    out = {"classified": passed, "counts": matrix.only(counts, ids), "features": matrix.only(features, ids, "transcript_id"), "sequences": matrix.only(sequences, ids, "name"), "reasons": quality.reject_reasons(classified)}
+    out = {"classified": passed, "counts": matrix.only(counts, ids), "features": matrix.only(features, ids, "transcript_id"), "sequences": matrix.in_order_or_fail(sequences, ids.withColumn("ord", F.monotonically_increasing_id()), "name"), "reasons": quality.reject_reasons(classified)}
     return out if cpm is None else out | {"cpm": matrix.only(cpm, ids)}
 
 

@@ -105,12 +105,7 @@ def q_sample_rename(x):
     return matrix.rename_samples(x.withColumn("sample", F.concat(F.lit("run_"), "sample", F.lit("-aligned.md"))))
 
 
-@query(
-    """first AS (SELECT id, min(sample) AS first_sample, min(id) AS k FROM expression GROUP BY id);;
-    SELECT id, sample, value, row_number() OVER (ORDER BY first.id) - 1 AS ord FROM (SELECT DISTINCT id FROM first) first JOIN expression USING (id) WHERE false
-    UNION ALL SELECT id, sample, value, CAST(regexp_extract(id, '[0-9]+') AS BIGINT) AS ord FROM expression WHERE id IN (SELECT id FROM expression WHERE value > 0)""",
-    "expression",
-)
+@query("SELECT id, sample, value, CAST(regexp_extract(id, '[0-9]+') AS BIGINT) AS ord FROM expression WHERE id IN (SELECT id FROM expression WHERE value > 0)", "expression")
 def q_matrix_reindex(x):
     order = x.where("value > 0").select("id", F.regexp_extract("id", "[0-9]+", 0).cast("long").alias("ord"))
     return matrix.in_order_of(x, order)
@@ -342,7 +337,7 @@ def q_quality_rule(c):
 
 
 @query(
-    _SCORED + """;;SELECT isoform, true AS not_full_match, coalesce(RTS_stage, false) AS rts, coalesce(min_cov < 1, true) AS low_coverage, run >= 6 AS a_run, perc_A_downstream_TTS >= 60 AS a_percent, rich > 15 AS a_rich FROM judged WHERE NOT ok""",
+    _SCORED + """;;SELECT isoform, true AS not_full_match, coalesce(RTS_stage, false) AS rts, (coalesce(min_sample_cov, 0) < 5 OR coalesce(min_cov, 0) < 50) AS low_coverage, run >= 6 AS a_run, perc_A_downstream_TTS >= 60 AS a_percent, rich > 15 AS a_rich FROM judged WHERE NOT ok""",
     "classified",
 )
 def q_reject_reasons(c):
@@ -354,10 +349,11 @@ def q_rules_filter(c):
     return quality.rules_filter(c).select("isoform")
 
 
-@query(_SCORED + ";;SELECT name, description, seq FROM sequences WHERE name IN (SELECT isoform FROM judged WHERE ok)", "sequences", "classified")
+@query(_SCORED + ";;SELECT name, description, seq, CAST(substr(name, 2) AS BIGINT) * -1 AS ord FROM sequences WHERE name IN (SELECT isoform FROM judged WHERE ok)", "sequences", "classified")
 def q_fasta_subset(s, c):
-    passed = quality.passing(c).select(F.col("isoform").alias("id"))
-    return matrix.only(s, passed, "name").select("name", "description", "seq")
+    """The passing transcripts' sequences, in an order of the transcripts' own."""
+    passed = quality.passing(c).select(F.col("isoform").alias("id"), (F.substring("isoform", 2, 20).cast("long") * -1).alias("ord"))
+    return matrix.in_order_or_fail(s, passed, "name").select("name", "description", "seq", "ord")
 
 
 @query("SELECT name, description, regexp_replace(seq, '[>\\r\\n]', '', 'g') AS seq FROM sequences", "sequences")

@@ -8,11 +8,15 @@ from pyspark.sql import functions as F
 from ..functions import attributes as A
 
 
-def parse_gtf_lines(lines: DataFrame, gff3: bool = False) -> DataFrame:
-    """Features of lines (value): comments and lines without nine fields are left out; strand ``.`` is ``*``."""
+def parse_gtf_lines(lines: DataFrame, gff3: bool | None = False) -> DataFrame:
+    """Features of lines (value): comments and lines without nine fields are left out; strand ``.`` is ``*``.
+
+    With ``gff3`` None each line tells by its first attribute whether it has ``key=value`` or ``key "value"``.
+    """
     fields = F.split("value", "\t")
     rows = lines.where(~F.col("value").startswith("#")).select(*[c for c in lines.columns if c != "value"], fields.alias("f")).where("size(f) = 9")
-    parsed = A.pairs(F.get("f", F.lit(8)), gff3)
+    text = F.get("f", F.lit(8))
+    parsed = A.pairs(text, gff3) if gff3 is not None else F.when(text.rlike(r'^\s*[^\s=;"]+='), A.pairs(text, True)).otherwise(A.pairs(text, False))
     own = A.attribute_map(F.col("parsed"))
     rows = rows.withColumn("parsed", parsed)
     return rows.select(
@@ -25,11 +29,10 @@ def parse_gtf_lines(lines: DataFrame, gff3: bool = False) -> DataFrame:
 
 
 def read_gtf(spark: SparkSession, path: str, gff3: bool | None = None) -> DataFrame:
-    """Features of GTF files, or of GFF3 files, by name if not told; ids of GFF3 are under its own keys.
+    """Features of GTF or GFF3 files, by the look of each line's attributes if not told: files named ``.gff`` hold either. Ids of GFF3 are under its own keys.
 
     Text files are split and read in parallel; order, where it matters, is by place.
     """
-    gff3 = path.rstrip("*").rstrip(".gz").endswith((".gff3", ".gff")) if gff3 is None else gff3
     return parse_gtf_lines(spark.read.text(path), gff3)
 
 

@@ -21,7 +21,8 @@ def parse_fasta(records: DataFrame) -> DataFrame:
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     """(ord, name, description, seq); ``ord`` rises in the order of the file. A gzip file is one task."""
-    return parse_fasta(spark.read.option("lineSep", ">").text(path)).select(F.monotonically_increasing_id().alias("ord"), "name", "description", "seq")
+    records = spark.read.option("lineSep", "\n>").text(path).select(F.regexp_replace("value", "^>", "").alias("value"))  # a file's first has its mark still
+    return parse_fasta(records).select(F.monotonically_increasing_id().alias("ord"), "name", "description", "seq")
 
 
 def parse_sam(lines: DataFrame) -> DataFrame:

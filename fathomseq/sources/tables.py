@@ -40,20 +40,25 @@ def read_t_data(spark: SparkSession, folder: str, run_code: str = "", name: str
     return rows.select("t_name", F.col("num_exons").cast("int").alias("num_exons"), F.col("FPKM").cast("double").alias("FPKM"), "sample")
 
 
-def read_cluster_reports(spark: SparkSession, path: str) -> DataFrame:
-    """(cluster_id, read_id, read_type) of reports with a header, by comma or tab, whichever its file has."""
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
-    f = F.split("value", "[,\t]")
-    rows = lines.where(~F.col("value").startswith("cluster_id")).select(F.get(f, F.lit(0)).alias("cluster_id"), F.get(f, F.lit(1)).alias("read_id"), F.get(f, F.lit(2)).alias("read_type"))
-    return rows.where("cluster_id <> ''")
+def read_cluster_reports(spark: SparkSession, path: str, name: str = "*") -> DataFrame:
+    """(cluster_id, read_id, read_type) of all reports ``name`` at or below ``path``, each with a header, by tab where a line has one and else by comma."""
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name).text(path)
+    f = F.split("value", F.when(F.contains("value", F.lit("\t")), "\t").otherwise(","))
+    rows = lines.where(F.regexp_replace("value", "\t", ",") != "cluster_id,read_id,read_type")
+    return rows.select(F.get(f, F.lit(0)).alias("cluster_id"), F.get(f, F.lit(1)).alias("read_id"), F.get(f, F.lit(2)).alias("read_type")).where("cluster_id <> ''")
+
+
+#: How the names of files of read lengths end.
+LENGTHS_END = r"[._]((?:un)?mapped)[._](?:read)?lengths\.txt(?:\.gz)?$"
 
 
 def read_read_lengths(spark: SparkSession, path: str) -> DataFrame:
-    """(sample, type, line_no, read_length) of files with one number a line; sample and type are in the file's name, line_no rises in the file."""
-    rows = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("line_no"))
-    kind = F.when(F.col("file").contains("unmapped"), "unmapped").otherwise("mapped")
-    sample = F.regexp_replace("file", r"[._](un)?mapped.*$", "")
-    return rows.select(sample.alias("sample"), kind.alias("type"), "line_no", F.trim("value").try_cast("double").alias("read_length")).where("read_length is not null")
+    """(sample, type, line_no, read_length) of files with one number a line at or below ``path``; a file's name is its sample and ``LENGTHS_END``, line_no rises in the file."""
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*mapped*lengths.txt*").text(path)
+    rows = lines.select("value", F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("line_no")).where(F.col("file").rlike(LENGTHS_END))
+    return rows.select(
+        F.regexp_replace("file", LENGTHS_END, "").alias("sample"), F.regexp_extract("file", LENGTHS_END, 1).alias("type"), "line_no", F.trim("value").try_cast("double").alias("read_length")
+    ).where("read_length is not null")
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:

@@ -30,7 +30,7 @@ VIEWS = {
     "classified": f"""SELECT 't' || CAST(d.doc_id AS STRING) AS isoform,
         CASE d.doc_id % 5 WHEN 0 THEN 'full-splice_match' WHEN 1 THEN 'incomplete-splice_match' WHEN 2 THEN 'novel_in_catalog' WHEN 3 THEN 'novel_not_in_catalog' ELSE 'genic_intron' END AS structural_category,
         l.toxic = 1 AS RTS_stage, d.doc_id % 7 AS diff_to_gene_TTS, CAST(d.doc_id * 37 % 101 AS DOUBLE) AS perc_A_downstream_TTS, {_SEQ} AS seq_A_downstream_TTS,
-        CASE WHEN d.doc_id % 11 = 0 THEN NULL ELSE CAST(d.doc_id % 4 AS DOUBLE) END AS min_cov, d.doc_id % 3 + 1 AS exons
+        CASE WHEN d.doc_id % 11 = 0 THEN NULL ELSE CAST(d.doc_id % 4 * 20 AS DOUBLE) END AS min_cov, CASE WHEN d.doc_id % 13 = 0 THEN NULL ELSE CAST(d.doc_id % 9 AS DOUBLE) END AS min_sample_cov, d.doc_id % 3 + 1 AS exons
         FROM {{documents}} d LEFT JOIN {{labels}} l ON d.doc_id = l.doc_id""",
     "reads": f"""SELECT CAST(l_orderkey AS STRING) || '/' || CAST(l_linenumber AS STRING) AS qname,
         CASE WHEN l_returnflag = 'R' THEN 4 WHEN l_linestatus = 'O' THEN 16 ELSE 0 END AS flag, 'chr' || CAST(l_partkey % 25 + 1 AS STRING) AS rname, l_orderkey AS pos,

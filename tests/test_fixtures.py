@@ -131,11 +131,13 @@ def test_matrices(spark):
 def test_quality_rule(spark):
     cases = [("full-splice_match", None, None, None, None, True), ("incomplete", False, 0, None, None, True), ("nic", False, 5, "AAAAACAAAACAAAACCCC", 59.0, None), ("nic", True, 0, "C", 1.0, False), ("nic", False, None, "AAAAAAC", 1.0, False)]
     rows = spark.createDataFrame([(str(i), *c[:5], 2.0) for i, c in enumerate(cases)], "isoform string, structural_category string, RTS_stage boolean, diff_to_gene_TTS long, seq_A_downstream_TTS string, perc_A_downstream_TTS double, min_cov double")
+    rows = rows.withColumns({"min_sample_cov": F.lit(5.0), "min_cov": F.when(F.col("isoform") == "3", 50.0).otherwise(F.col("min_cov"))})
     got = {int(r.isoform): r for r in quality.judge(quality.with_scores(rows)).collect()}
     for i, c in enumerate(cases):
         assert got[i].filter_pass == (got[i].rc_score <= 15 if c[5] is None else c[5])
     reasons = {r.isoform: r for r in quality.reject_reasons(rows).collect()}
     assert reasons["3"].rts and reasons["4"].a_run and "0" not in reasons
+    assert not reasons["3"].low_coverage and reasons["4"].low_coverage
 
 
 GTF = """##description: x
@@ -171,6 +173,36 @@ def test_gtf_files(spark, tmp_path):
     assert intervals.in_region(spark.read.parquet(str(tmp_path / "indexed")), "chr1", 101, 200).count() == 0
 
 
+def test_files_that_mislead(spark, tmp_path):
+    """A .gff in GTF's style, '>' within a header, sample names that look like endings, rows that look like headers, escaped patterns."""
+    (tmp_path / "x.collapsed.gff").write_text('c\ts\texon\t1\t2\t.\t+\t.\tgene_id "PB.1"; transcript_id "PB.1.1";\nc\ts\tgene\t1\t2\t.\t-\t.\tID=g1;note=a "b" c\n')
+    rows = sources.read_gtf(spark, str(tmp_path / "x.collapsed.gff")).orderBy("type").collect()
+    assert (rows[0].gene_id, rows[0].transcript_id, rows[1].attributes["ID"]) == ("PB.1", "PB.1.1", "g1")
+    (tmp_path / "odd.fa").write_text(">t1 len>100 x\nAC\nGT\n>t2\nTT\n")
+    assert [(r.name, r.description, r.seq) for r in sources.read_fasta(spark, str(tmp_path / "odd.fa")).orderBy("ord").collect()] == [("t1", "len>100 x", "ACGT"), ("t2", "", "TT")]
+    (tmp_path / "lengths" / "deep").mkdir(parents=True)
+    (tmp_path / "lengths" / "deep" / "a_mapped_b.mapped.readlengths.txt").write_text("7\n")
+    (tmp_path / "lengths" / "a.unmapped.readlengths.txt").write_text("5\n")
+    got = sources.read_read_lengths(spark, str(tmp_path / "lengths")).collect()
+    assert sorted((r.sample, r.type, r.read_length) for r in got) == [("a", "unmapped", 5), ("a_mapped_b", "mapped", 7)]
+    (tmp_path / "reports" / "s1").mkdir(parents=True)
+    (tmp_path / "reports" / "s1" / "p.cluster_report.csv").write_text("cluster_id\tread_id\tread_type\ncluster_id_7\tr,1\tFL\n")
+    (tmp_path / "reports" / "q.cluster_report.csv").write_text("cluster_id,read_id,read_type\nc2,r2,FL\n")
+    got = sources.read_cluster_reports(spark, str(tmp_path / "reports"), "*cluster_report.csv").collect()
+    assert sorted(tuple(r) for r in got) == [("c2", "r2", "FL"), ("cluster_id_7", "r,1", "FL")]
+    names = spark.createDataFrame([("a", x, 1.0) for x in ("s.aligned.md", "sXalignedXmd", "it's")], LONG)
+    assert [r.sample for r in matrix.rename_samples(names, r"\.aligned\.md").collect()] == ["s", "sXalignedXmd", "it's"]
+    assert [r.sample for r in matrix.rename_samples(names, "'s", "").collect()][2] == "it"
+
+
+def test_sequences_in_order_or_error(spark):
+    sequences = spark.createDataFrame([(1, "t1", "A"), (2, "t2", "C"), (3, "t3", "G")], "ord long, name string, seq string")
+    wanted = lambda *names: spark.createDataFrame([(n, i) for i, n in enumerate(names)], "id string, ord long")
+    assert [tuple(r) for r in matrix.in_order_or_fail(sequences, wanted("t3", "t1"), "name").select("name", "seq", "ord").collect()] == [("t3", "G", 0), ("t1", "A", 1)]
+    with pytest.raises(Exception, match="nothing is named t9"):
+        matrix.in_order_or_fail(sequences, wanted("t3", "t9"), "name").collect()
+
+
 def test_missing_attribute_fails(spark):
     rows = spark.createDataFrame([({"gene_id": "g"},)], "a map<string,string>")
     with pytest.raises(Exception, match="is missing"):
