@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .common import U64
 
 #: Rows of one index.
-BLOCK_ROWS = 8192
+BLOCK_ROWS = 16_384
 
 
 class BitSlices:
