@@ -213,13 +213,18 @@ class Words:
         self.hash = spans_hash(self.raw, self.start, self.end)
         self.first = np.searchsorted(self.start, at)
 
-    def shingles(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of the windows of ``k`` words and the text of each; a shorter text is one window."""
+    def windows(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the windows of ``k`` words and the text of each; a shorter text has none."""
         n = np.diff(self.first)
         full = np.maximum(n - k + 1, 0)
         doc = np.repeat(np.arange(len(n)), full)
         begin = np.arange(full.sum()) - np.repeat(np.cumsum(full) - full, full) + self.first[doc]
-        hashes = self._window(begin, k)
+        return self._window(begin, k), doc
+
+    def shingles(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The same, but a shorter text is one window."""
+        n = np.diff(self.first)
+        hashes, doc = self.windows(k)
         for length in range(1, k):
             if len(short := np.flatnonzero(n == length)):
                 hashes = np.concatenate([hashes, self._window(self.first[short], length)])

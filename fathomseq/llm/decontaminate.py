@@ -110,9 +110,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: int = 5, coverage: float
 
     Tokens are words without ASCII punctuation, A-Z lower-cased. A pair is
     returned when tiles of at least ``least`` tokens, in any order, cover at
-    least the share ``coverage`` of the item's tokens. Items of fewer than
-    ``least`` tokens, null or empty texts are never matched; rows of
-    ``benchmark`` with one item_id and different texts are judged one by one
+    least the share ``coverage`` of the item's tokens. An item of fewer than
+    ``least`` tokens is matched whole, as one tile. Null and empty texts, and
+    those without a token, are never matched; rows of ``benchmark`` with one
+    item_id and different texts are judged one by one
     and the best covered counts. Repeated rows of ``docs`` are one row here,
     known by ``row_key``, a hash of doc_id and text. Null ids pass through.
     Other columns aren't read. Empty tables give an empty result.
@@ -125,13 +126,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: int = 5, coverage: float
         words = Words(*text_bytes(batch.column("text")), MARKS)
         seeds, of = words.shingles(least)
         n = np.diff(words.first)
-        full = np.flatnonzero(n >= least)
-        seeds = [np.unique(seeds[of == i]).view(np.int64) for i in full.tolist()]
-        tokens = [words.hash[words.first[i] : words.first[i + 1]].tobytes() for i in full.tolist()]
-        yield pa.RecordBatch.from_arrays([batch.column("item_id").take(pa.array(full)), signed(spans_hash(words.hash, words.first[full], words.first[full + 1])), pa.array(tokens, pa.binary()), pa.array(seeds, pa.list_(pa.int64()))], ["item_id", "item_key", "item_tokens", "seeds"])
+        worded = np.flatnonzero(n)
+        own = [np.unique(seeds[of == i], return_counts=True) for i in worded.tolist()]
+        tokens = [words.hash[words.first[i] : words.first[i + 1]].tobytes() for i in worded.tolist()]
+        places = [[{"seed": s, "places": c} for s, c in zip(x.view(np.int64).tolist(), many.tolist(), strict=True)] for x, many in own]
+        columns = [batch.column("item_id").take(pa.array(worded)), signed(spans_hash(words.hash, words.first[worded], words.first[worded + 1])), pa.array(n[worded], pa.int64()), pa.array(tokens, pa.binary())]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(places, pa.list_(pa.struct([("seed", pa.int64()), ("places", pa.int64())])))], ["item_id", "item_key", "n_tokens", "item_tokens", "seeds"])
 
-    items = scratch.cut(arrow_map(items, read, "item_id long, item_key long, item_tokens binary, seeds array<long>").dropDuplicates(["item_id", "item_key"]))
-    seeds = scratch.cut(items.select(F.explode("seeds").alias("seed"), "item_id", "item_key"))
+    items = scratch.cut(arrow_map(items, read, "item_id long, item_key long, n_tokens long, item_tokens binary, seeds array<struct<seed:long,places:long>>").dropDuplicates(["item_id", "item_key"]))
+    seeds = scratch.cut(items.select(F.explode("seeds").alias("x"), "item_id", "item_key", "n_tokens").select("x.*", "item_id", "item_key", "n_tokens"))
+    widths = [least, *sorted(r[0] for r in items.where(F.col("n_tokens") < least).select("n_tokens").distinct().collect())]
 
     bits = min(FILTER_BITS, max(20, int(seeds.count()).bit_length() + 6))
     marked = np.zeros(1 << bits - 6, U64)
@@ -146,15 +150,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: int = 5, coverage: float
 
     def scan(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         words = Words(*text_bytes(batch.column("text")), MARKS)
-        n = np.diff(words.first)
-        found, of = words.shingles(least)
-        found, of = found[: (full := int(np.maximum(n - least + 1, 0).sum()))], of[:full]
-        hits, filt = np.arange(full), sent.value
+        found, of = zip(*(words.windows(k) for k in widths), strict=True)
+        found, of = np.concatenate(found), np.concatenate(of)
+        hits, filt = np.arange(len(found)), sent.value
         for p in range(PROBES):
             at = mix(found[hits] + U64(p * 0x9E3779B9 + 1)) >> U64(64 - bits)
             hits = hits[(filt[(at >> U64(6)).astype(np.int64)] >> (at & U64(63)) & U64(1)).astype(bool)]
         if not len(hits):
             return
+        hits = hits[np.argsort(of[hits], kind="stable")]
         rows, begin = np.unique(of[hits], return_index=True)
         own = [np.unique(x).view(np.int64) for x in np.split(found[hits], begin[1:])]
         tokens = [words.hash[words.first[i] : words.first[i + 1]].tobytes() for i in rows.tolist()]
@@ -162,14 +166,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: int = 5, coverage: float
         yield pa.RecordBatch.from_arrays([batch.column("row_key").take(take), batch.column("doc_id").take(take), pa.array(tokens, pa.binary()), pa.array(own, pa.list_(pa.int64()))], ["row_key", "doc_id", "tokens", "seeds"])
 
     held = scratch.cut(arrow_map(docs, scan, "row_key long, doc_id long, tokens binary, seeds array<long>"))
-    pairs = held.select("row_key", F.explode("seeds").alias("seed")).join(seeds, "seed").select("row_key", "item_id", "item_key").distinct()
+    shared = held.select("row_key", F.explode("seeds").alias("seed")).join(seeds, "seed").groupBy("row_key", "item_id", "item_key", "n_tokens").agg(F.sum("places").alias("places"))
+    # a shared window covers at most its own tokens
+    pairs = shared.where(F.col("places") * F.least(F.lit(least), "n_tokens") >= F.lit(coverage) * F.col("n_tokens")).select("row_key", "item_id", "item_key")
     full = pairs.join(held.select("row_key", "doc_id", "tokens"), "row_key").join(items.select("item_key", F.col("item_id").alias("same_id"), "item_tokens"), "item_key").where("item_id <=> same_id")
 
     def judge(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         rows, of, covered, spans = [], [], [], []
         for r in range(batch.num_rows):
             item = np.frombuffer(batch.column("item_tokens")[r].as_py(), U64)
-            own = tile(np.frombuffer(batch.column("tokens")[r].as_py(), U64), item, least)
+            own = tile(np.frombuffer(batch.column("tokens")[r].as_py(), U64), item, min(least, len(item)))
             if (share := sum(x[2] for x in own)) >= coverage * len(item):
                 rows.append(r)
                 of.append(len(item))
