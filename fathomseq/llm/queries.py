@@ -60,19 +60,23 @@ def op6_bitsliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three batches: all documents are counted, those not in English again with another vocabulary, and exact copies are deleted. The last two are committed twice."""
+    """Three batches: all documents are counted, those not in English again with another vocabulary, and exact copies are deleted. The last two are committed twice.
+
+    Of rows with one text the one with the least doc_id stays (null last, ties
+    by source and lang). Rows without a text are no copies. Nothing is joined:
+    what is deleted are all rows with a text, less one for each text.
+    """
     scratch = Scratch(spark)
     one, many = "byte_bpe_50k", "byte_bpe_multi_50k"
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(7), "text").alias("h2"))
     again = F.coalesce(F.col("lang") != "en", F.lit(True))
-    first = count_tokens(docs, one).withColumnRenamed("tokens", "before")
-    counts = scratch.cut(first)
-    recounted = scratch.cut(count_tokens(docs.where(again).select("doc_id", "source", "lang", "text"), many).withColumnRenamed("tokens", "after"))
-    moved = counts.where(again).join(recounted.select("doc_id", "after"), "doc_id")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(7), "text").alias("h2"), F.col("text").isNotNull().alias("has_text"))
+    before = count_tokens(docs, one, to="before", keep_text=True)
+    counts = scratch.cut(count_tokens(before.withColumn("text", F.when(again, F.col("text"))), many, to="after"))
+    moved = counts.where(again)
     rollups = TokenRollups(spark, f"{scratch.root}/rollups")
-    kept = counts.groupBy("h1", "h2").agg(F.min("doc_id").alias("kept"))
-    copies = counts.join(kept, ["h1", "h2"]).where("doc_id <> kept").join(recounted.select("doc_id", "after"), "doc_id", "left")
-    deleted = signed(copies.where(~again), -1, one, "before").union(signed(copies.where(again), -1, many, "after"))
+    now = counts.where("has_text").select("*", F.when(again, many).otherwise(one).alias("tokenizer"), F.when(again, F.col("after")).otherwise(F.col("before")).alias("tokens"))
+    kept = now.groupBy("h1", "h2").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "source", "lang", "tokenizer", "tokens")).alias("kept")).select("kept.*")
+    deleted = signed(now, -1, F.col("tokenizer")).union(signed(kept, 1, F.col("tokenizer")))
     rollups.commit("1-insert", signed(counts, 1, one, "before"))
     for _ in range(2):
         rollups.commit("2-recount", revised(moved, one, many, "before", "after"))

@@ -149,10 +149,52 @@ def test_rollups(spark, tmp_path):
     again = rollups.TokenRollups(spark, f"file://{tmp_path}/r")
     assert again.committed() == ["b1", "b2", "b3"]
     assert sorted(map(tuple, again.totals().collect())) == [("s", "en", "v1", 1, 0), ("s", "en", "v2", 1, 5)]
+    # a snapshot holds the totals; later batches are added to it
+    assert store.compact() and not store.compact()
+    assert sorted(map(tuple, again.totals().collect())) == [("s", "en", "v1", 1, 0), ("s", "en", "v2", 1, 5)]
+    small = rollups.TokenRollups(spark, f"file://{tmp_path}/r", compact_every=1)
+    assert small.commit("b4", rollups.signed(rows, 1, "v1")) and small._state()[1] == []
+    assert not small.commit("b2", rollups.signed(rows, 1, "v1"))
+    assert sorted(map(tuple, again.totals().collect()), key=str) == sorted([("s", "en", "v1", 3, 2), ("s", "en", "v2", 1, 5), (None, "de", "v1", 1, 1)], key=str)
     with pytest.raises(ValueError):
         store.commit("../x", rollups.signed(rows, 1, "v1"))
 
 
+def test_rollups_of_two_writers(spark, tmp_path, monkeypatch):
+    """Both find the batch free and write; one counts, and the other's data goes."""
+    rows = spark.createDataFrame([("s", "en", 2)], "source string, lang string, tokens long")
+    first, second = (rollups.TokenRollups(spark, f"file://{tmp_path}/r") for _ in range(2))
+    write = rollups.TokenRollups._write
+
+    def late(self, *args, **more):
+        if self is first:
+            assert second.commit("b", rollups.signed(rows, 1, "v"))
+        return write(self, *args, **more)
+
+    monkeypatch.setattr(rollups.TokenRollups, "_write", late)
+    assert not first.commit("b", rollups.signed(rows, 1, "v"))
+    assert [tuple(r) for r in first.totals().collect()] == [("s", "en", "v", 1, 2)]
+    assert len(list((tmp_path / "r" / "data").iterdir())) == 1 and not [p for p in (tmp_path / "r" / "staging").iterdir() if p.suffix != ".crc"]
+
+
+def test_rollup_query_of_odd_rows(spark, tmp_path):
+    """Repeated and null ids, null texts, repeated rows and empty tables."""
+    from fathomseq.llm.queries import op7_token_rollups
+
+    rows = [(1, "s", "en", "one two"), (1, "s", "en", "one two"), (1, "s", "de", "drei"), (None, "s", "de", "vier"), (None, "s", "de", "vier"), (None, None, None, None), (5, "s", "en", None), (6, "s", "en", None), (7, "t", "de", "vier"), (8, "s", "en", "")]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, lang string, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    n = {}
+    for name in ("byte_bpe_50k", "byte_bpe_multi_50k"):
+        n[name] = {r.text: r.tokens for r in rollups.count_tokens(docs.select("text", F.col("text").alias("same")), name).withColumnRenamed("same", "text").collect()}
+    one, many = n["byte_bpe_50k"], n["byte_bpe_multi_50k"]
+    want = {("s", "en", "byte_bpe_50k", 4, one["one two"]), ("s", "de", "byte_bpe_multi_50k", 1, many["drei"]), ("t", "de", "byte_bpe_multi_50k", 1, many["vier"]), (None, None, "byte_bpe_multi_50k", 1, 0)}
+    assert {(r.source, r.lang, r.tokenizer, r.docs, r.tokens) for r in op7_token_rollups(spark, str(tmp_path)).collect()} == want
+    (tmp_path / "none").mkdir()
+    docs.limit(0).write.parquet(str(tmp_path / "none" / "documents.parquet"))
+    assert op7_token_rollups(spark, str(tmp_path / "none")).count() == 0
+
+
 def test_token_counts(spark):
     import base64
 
