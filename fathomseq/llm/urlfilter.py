@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from .common import U64, Scratch, arrow_map, mix, signed
 
-#: Listed keys of one cascade, at most: its filters stay under about 16 MB. More keys are dealt to more cascades.
+#: Listed keys of one cascade, at most. Its filters hold about 1.44 * log2(unlisted / listed) + 6 bits a listed key: 16 MB for
+#: a universe of 10**13 keys. More keys are dealt to more cascades.
 SHARD_KEYS, SHARDS_AT_ONCE = 4_000_000, 8
 _HASHES = ("h1", "h2")
 
@@ -72,13 +73,18 @@ class Cascade:
 
     @staticmethod
     def of(listed: DataFrame, universe: DataFrame, scratch: Scratch, most_levels: int = 64) -> Cascade:
-        """From keys (h1, h2); ``universe`` holds every key that will be asked for, listed or not."""
+        """From keys (h1, h2); ``universe`` holds every key that will be asked for, listed or not.
+
+        The first level lets about 0.7 of an unlisted key through for each
+        listed one, whatever the universe's size, and each later level half of
+        what is left, so all levels are in proportion to the listed keys.
+        """
         inside = scratch.cut(listed.select(*_HASHES).distinct())
         outside = scratch.cut(universe.select(*_HASHES).distinct().join(inside, list(_HASHES), "left_anti"))
         levels: list[Bloom] = []
         sizes = [inside.count(), outside.count()]
-        rate = min(0.5, max(1e-3, 0.7 * sizes[0] / max(sizes[1], 1)))
-        while sizes[0]:
+        rate = min(0.5, 0.7 * sizes[0] / max(sizes[1], 1))
+        while sizes[0]:  # an empty level has let nothing pass
             if len(levels) == most_levels:
                 raise RuntimeError("two keys have the same 128-bit hash")
             level = Bloom.of(inside, sizes[0], rate, salt := len(levels) + 1)
@@ -161,16 +167,16 @@ def judge(pages: DataFrame, rules: DataFrame, listed_hosts: DataFrame) -> DataFr
     host and all its subdomains where the url's path starts with its path, and
     the longest rule wins, then the one of the longer host; of a rule listed
     both ways, block. Where none fits, the url is blocked if its host or a
-    parent of it is one of ``listed_hosts`` (host). Which of a url's hosts and
+    parent of it is one of ``listed_hosts`` (host). The driver holds the
+    lengths that paths of rules have, at most as many as the longest has
+    characters. Which of a url's hosts and
     path beginnings are rules is found by cascades over all such keys of all
     pages. Rows with null in a rule are no rule. Repeated pages stay; null ids
     pass through; other columns are not read.
     """
     spark, scratch = pages.sparkSession, Scratch(pages.sparkSession)
     rules = rules.where("host is not null and path is not null and verdict in ('allow', 'block')").select("host", "path", "verdict", F.concat("host", "path").alias("key"))
-    lengths = [r[0] for r in rules.select(F.length("path")).distinct().limit(10_001).collect()]
-    if len(lengths) > 10_000:
-        raise ValueError("rules have paths of more than 10,000 lengths")
+    lengths = sorted(r[0] for r in rules.select(F.length("path")).distinct().collect())
     host, path = host_and_path(F.col("url"))
     urls = pages.select(F.col("page_id").cast("long").alias("page_id"), host.alias("host"), path.alias("path"))
 
@@ -180,7 +186,8 @@ def judge(pages: DataFrame, rules: DataFrame, listed_hosts: DataFrame) -> DataFr
         """Adds the keys of each row: its host and the host's parents, each with every beginning of the path that is as long as a rule's."""
         labels = F.split("host", r"\.")
         of = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-        starts = F.array_compact(F.array(F.lit(""), *[F.when(F.length("path") >= n, F.substring("path", 1, n)) for n in sorted(lengths) if n]))
+        short = F.filter(F.lit(np.array([0, *(n for n in lengths if n)], np.int32)), lambda n: n <= F.length("path"))
+        starts = F.transform(short, lambda n: F.substring("path", F.lit(1), n))
         pairs = F.flatten(F.transform(of, lambda h: F.transform(starts, lambda x: F.struct(h.alias("of"), F.concat(h, x).alias("key")))))
         return rows.withColumn("keys", pairs)
 
