@@ -21,36 +21,63 @@ def record(url: Column, record_id: Column, body: Column) -> Column:
     return F.concat(head.cast("binary"), payload, F.lit("\r\n\r\n").cast("binary"))
 
 
-def records(pages: DataFrame, files: int) -> DataFrame:
-    """(file, offset, bytes, digest, page_id, url) of the record of each page.
+def layout(pages: DataFrame, files: int) -> DataFrame:
+    """(file, page_id, url, place, record): the bytes of the record of each page and what orders records of one page_id and url.
 
-    Pages are dealt to ``files`` by a hash of page_id and stand there by
-    page_id and url; null counts as empty. A record's offset is the sum of the
-    bytes before it in its file.
+    Pages are dealt to ``files`` by a hash of page_id; null counts as empty.
     """
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     deal = F.conv(F.substring(F.md5(text("page_id").cast("binary")), 1, 8), 16, 10).cast("long")
     whole = record(text("url"), F.md5(F.concat(text("page_id"), F.lit("|"), text("url")).cast("binary")), text("html"))
     rows = pages.select(F.pmod(deal, F.lit(files)).alias("file"), F.col("page_id").cast("long").alias("page_id"), text("url").alias("url"), whole.alias("record"))
-    rows = rows.select("file", "page_id", "url", F.octet_length("record").cast("long").alias("bytes"), F.sha2("record", 256).alias("digest"))
-    order = Window.partitionBy("file").orderBy("page_id", "url", "digest").rowsBetween(Window.unboundedPreceding, -1)
+    return rows.select("file", "page_id", "url", F.sha2("record", 256).alias("place"), "record")
+
+
+def hashed(rows: DataFrame) -> DataFrame:
+    """(file, offset, bytes, digest, page_id, url) of the records of ``layout``.
+
+    They stand in each file by page_id, url and place; a record's offset is
+    the sum of the bytes before it in its file.
+    """
+    rows = rows.select("file", "page_id", "url", "place", F.octet_length("record").cast("long").alias("bytes"), F.sha2("record", 256).alias("digest"))
+    order = Window.partitionBy("file").orderBy("page_id", "url", "place").rowsBetween(Window.unboundedPreceding, -1)
     return rows.select("file", F.coalesce(F.sum("bytes").over(order), F.lit(0)).cast("long").alias("offset"), "bytes", "digest", "page_id", "url")
 
 
+def records(pages: DataFrame, files: int) -> DataFrame:
+    """(file, offset, bytes, digest, page_id, url) of the record of each page, in ``files`` files."""
+    return hashed(layout(pages, files))
+
+
 def read_warc(spark, path: str) -> DataFrame:
-    """(file, offset, bytes, digest, page_id, url) of the records in uncompressed WARC files; page_id is null.
+    """(file, offset, bytes, digest, page_id, url) of the records in WARC files, plain or in gzip members; page_id is null.
 
-    Each file is read whole by one task, so files should be of the usual 1 GB
-    at most. A record that ends early has the bytes that are there.
+    Offsets and bytes are those of the plain content. Each file is read whole
+    by one task, so files should be of the usual 1 GB at most. A record that
+    ends early has the bytes that are there, as has a gzip member that does;
+    what follows a member that can't be read is not looked at.
     """
     import hashlib
     import re
+    import zlib
 
     import pyarrow as pa
 
+    def plain(content: bytes) -> bytes:
+        parts = []
+        while content[:2] == b"\x1f\x8b":
+            member = zlib.decompressobj(zlib.MAX_WBITS | 16)
+            try:
+                parts.append(member.decompress(content))
+            except zlib.error:
+                break
+            content = member.unused_data
+        return b"".join(parts) if parts else content
+
     def parse(batches):  # noqa: ANN001, ANN202
         for batch in batches:
             for name, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
+                content = plain(content)
                 at, rows = 0, []
                 while (head := content.find(b"\r\n\r\n", at)) >= 0:
                     fields = content[at:head]
@@ -83,16 +110,22 @@ def audit(primary: DataFrame, replica: DataFrame, fanout: int = FANOUT, range_by
     that begin in one range of ``range_bytes`` offsets, in order, and a node
     of each next level the hash of ``fanout`` neighbouring nodes, up to one
     root for each file. Roots are compared first and only the children of
-    nodes that differ are looked at, level by level. ``damage`` is changed,
-    missing (only the primary has a record at that offset) or extra. Records
-    of one offset are compared as a list. Rows with a null file or offset are
-    left out. Empty tables have no root, so each record of the other is found.
+    nodes that differ are looked at, level by level. A record that is lost or
+    of another length shifts those after it in its file, so ranges that differ
+    hold sound records at other offsets: within them, records of one file are
+    paired by digest (these are sound), then by page_id, url and offset, then
+    by page_id and url, then by offset. ``damage`` is changed for the latter
+    three, missing for records that only the primary has left, and extra for
+    those that only the replica has; offsets are the primary's but for extra
+    ones. Equal records count as often as they stand there. Rows with a null
+    file or offset are left out. Empty tables have no root, so each record of
+    the other is found.
     """
     scratch = Scratch(primary.sparkSession)
     sides = []
     for df in (primary, replica):
         leaf = F.concat_ws(":", "offset", "bytes", "digest")
-        rows = df.where("file is not null and offset is not null").select(F.col("file").cast("string").alias("file"), "offset", "bytes", "page_id", "url", leaf.alias("hash"))
+        rows = df.where("file is not null and offset is not null").select(F.col("file").cast("string").alias("file"), "offset", "bytes", "page_id", "url", "digest", leaf.alias("hash"))
         sides.append(scratch.cut(rows))
     most = [s.agg(F.max("offset")).first()[0] or 0 for s in sides]
     spans = [range_bytes]
@@ -119,12 +152,26 @@ def audit(primary: DataFrame, replica: DataFrame, fanout: int = FANOUT, range_by
         both = a.withColumnRenamed("hash", "ours").join(b.withColumnRenamed("hash", "theirs"), ["file", "node"], "full")
         open_nodes = scratch.cut(both.where("not (ours <=> theirs)").select("file", "node"))
 
-    found = []
-    for rows in sides:
-        rows = rows.withColumn("node", F.floor(F.col("offset") / spans[0]).cast("long")).join(open_nodes, ["file", "node"], "left_semi")
-        found.append(rows.groupBy("file", "offset").agg(F.sort_array(F.collect_list("hash")).alias("hashes"), F.max("bytes").alias("bytes"), F.min("page_id").alias("page_id"), F.min("url").alias("url")))
-    ours, theirs = found
-    theirs = theirs.select("file", "offset", *[F.col(c).alias(f"their_{c}") for c in ("hashes", "bytes", "page_id", "url")])
-    both = ours.join(theirs, ["file", "offset"], "full").where("not (hashes <=> their_hashes)")
-    damage = F.when(F.col("their_hashes").isNull(), "missing").when(F.col("hashes").isNull(), "extra").otherwise("changed")
-    return both.select("file", "offset", *[F.coalesce(c, f"their_{c}").alias(c) for c in ("bytes", "page_id", "url")], damage.alias("damage"))
+    ours, theirs = (s.withColumn("node", F.floor(F.col("offset") / spans[0]).cast("long")).join(open_nodes, ["file", "node"], "left_semi").drop("node", "hash") for s in sides)
+    _, ours, theirs = paired(ours, theirs, ["digest"], scratch)
+    changed = []
+    for by in (["page_id", "url", "offset"], ["page_id", "url"], ["offset"]):
+        both, ours, theirs = paired(ours, theirs, by, scratch)
+        changed.append(both)
+    out = None
+    for rows, damage in [*((x, "changed") for x in changed), (ours, "missing"), (theirs, "extra")]:
+        rows = rows.select("file", "offset", "bytes", "page_id", "url", F.lit(damage).alias("damage"))
+        out = rows if out is None else out.union(rows)
+    return out
+
+
+def paired(ours: DataFrame, theirs: DataFrame, by: list[str], scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows of ``ours`` that have a partner in ``theirs`` of the same file and ``by``, and what is left of both; the n-th by offset is the n-th's partner."""
+    order = Window.partitionBy("file", *by).orderBy("offset", "digest")
+    a, b = (x.withColumn("nth", F.row_number().over(order)) for x in (ours, theirs))
+    columns = ours.columns
+    rows = a.select(F.struct(*columns).alias("a"), "nth", "file", *by)
+    other = b.select(F.struct(*columns).alias("b"), *[F.col(c).alias(f"their_{c}") for c in ("nth", "file", *by)])
+    same = [F.col(c).eqNullSafe(F.col(f"their_{c}")) for c in ("nth", "file", *by)]
+    rows = scratch.cut(rows.join(other, same, "full").select("a", "b").where("a is null or b is null" if by == ["digest"] else "true"))
+    return rows.where("a is not null and b is not null").select("a.*"), rows.where("b is null").select("a.*"), rows.where("a is null").select("b.*")

@@ -1,5 +1,6 @@
 """URL filters, fixity audit, bit-sliced search, rollups and mixing against brute force, and their odd rows."""
 
+import gzip
 import random
 from collections import Counter
 
@@ -96,12 +97,33 @@ def test_warc_audit(spark, tmp_path):
     assert warc.audit(ours, ours.limit(0)).count() == len(a)
     assert warc.audit(ours.limit(0), ours.limit(0)).count() == 0
 
+    # real replicas: a lost record and an altered one, found though all that follow have moved
+    rows = warc.layout(frame, 2)
+    lost, altered = F.col("page_id") == 30, F.col("page_id").isin(11, 40, 41)
+    spoilt = rows.where(~F.coalesce(lost, F.lit(False))).withColumn("record", F.when(altered, F.concat("record", F.lit(b"\0"))).otherwise(F.col("record")))
+    got = warc.audit(ours := warc.hashed(rows), warc.hashed(spoilt), 4, 1024)
+    assert sorted((x.page_id, x.damage) for x in got.collect()) == [(11, "changed"), (30, "missing"), (40, "changed"), (41, "changed")]
+    assert {(x.page_id, x.offset) for x in got.collect()} <= {(x.page_id, x.offset) for x in ours.collect()}
+    assert sorted((x.page_id, x.damage) for x in warc.audit(warc.hashed(spoilt), ours).collect()) == [(11, "changed"), (30, "extra"), (40, "changed"), (41, "changed")]
+
     one = frame.where("page_id < 50").coalesce(1)
     warc.write_warc(one, str(tmp_path / "w"))
     again = warc.read_warc(spark, str(tmp_path / "w" / "part-*")).collect()
     assert sorted(x.digest for x in again) == sorted(x.digest for x in warc.records(one, 1).collect())
     assert Counter(x.url for x in again) == Counter(x.url for x in one.collect())
 
+    # files: plain, one gzip member for each record, and a replica with a spoilt byte and a lost record
+    content = next((tmp_path / "w").glob("part-*")).read_bytes()
+    cut = sorted(x.offset for x in again) + [len(content)]
+    parts = [content[a:b] for a, b in zip(cut, cut[1:])]
+    for folder, kept in (("plain", parts), ("zipped", [gzip.compress(x) for x in parts]), ("spoilt", [*parts[:9], parts[10], parts[11][:-9] + b"?" + parts[11][-8:], *parts[12:]])):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "a").write_bytes(b"".join(kept))
+    whole, zipped, spoilt = (warc.read_warc(spark, str(tmp_path / f / "a")).withColumn("file", F.lit("a")) for f in ("plain", "zipped", "spoilt"))
+    assert warc.audit(whole, zipped, 4, 256).count() == 0
+    found = {(x.offset, x.damage) for x in warc.audit(whole, spoilt, 4, 256).collect()}
+    assert found == {(cut[9], "missing"), (cut[11], "changed")}
+
 
 def test_top_products(spark, monkeypatch):
     monkeypatch.setattr(bitsliced, "BLOCK_ROWS", 70)
