@@ -256,3 +256,49 @@ def test_forest_of_long_run():
     edges = forest_of(ids, fp)
     assert len(edges) < len(ids)
     assert groups(len(ids), [(a - 1000, b - 1000) for a, b in edges.tolist()]) == groups(len(ids), links)
+
+
+def test_lengths_are_not_mixed(monkeypatch):
+    """Pairs of short and of long texts are not put into one table, whose size would be that of the longest for all."""
+    from fathomseq.llm import line_dedup
+    from fathomseq.llm.linkage import Forest
+
+    cells = []
+
+    def watched(a, b, most):
+        cells.append(len(a) * (max(map(len, a)) + 2 * int(most.max())))
+        return all_within(a, b, most)
+
+    monkeypatch.setattr(line_dedup, "all_within", watched)
+    r = random.Random(6)
+    forms = ["".join(r.choice("abcdefgh") for _ in range(n)) for n in (20, 3000) for _ in range(400)]
+    pairs = [(i, i + 1, len(forms[i]) // 10) for i in range(0, 800, 2)]
+    assert not list(line_dedup.linked(forms, pairs, Forest(len(forms))))
+    assert len(cells) >= 2 and max(cells) < 60 * 3600
+
+
+def test_letters_lose_no_link():
+    from fathomseq.llm.line_dedup import able, forest_of, lengths, letter_marks
+
+    r = random.Random(7)
+    lines = []
+    for _ in range(300):
+        x = [r.choice("abcdexyzé漢 ") for _ in range(r.randrange(4, 700))]
+        lines.append("a" + "".join(x))
+        for _ in range(len(x) // 10):
+            x[r.randrange(len(x))] = r.choice(["", "é", "漢", "e", "qq"])
+        lines.append("a" + "".join(x))
+    raw = [x.encode() for x in lines]
+    words = Words(np.frombuffer(b"".join(raw), np.uint8), np.append(0, np.cumsum([len(x) for x in raw])), MARKS)
+    first, last = words.first[:-1], words.first[1:]
+    size = lengths(words, first, last)
+    marks = letter_marks(words, first, last, size)
+    forms = [normal(x) for x in lines]
+    near_by = [i for i in range(0, len(lines), 2) if within(forms[i], forms[i + 1], max(size[i], size[i + 1]) * 10 // 100)]
+    assert len(near_by) > 50
+    both = np.array(near_by)
+    assert able(marks[both], marks[both + 1], np.maximum(size[both], size[both + 1]), 90).all()
+    unlike = np.array([[i, j] for i in range(0, 100, 2) for j in range(i + 2, 100, 2) if abs(size[i] - size[j]) < 20 and size[i] < 100])
+    assert not able(marks[unlike[:, 0]], marks[unlike[:, 1]], size[unlike].max(1), 90).all()
+    own = np.array([[1, 2], [1, 2], [0x0A0A0A0A, 2]])
+    assert forest_of(np.array([5, 6, 7]), np.zeros(3, U64), np.array([30, 30, 30]), 90, own).tolist() == [[5, 6]]
